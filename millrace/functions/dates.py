@@ -54,6 +54,18 @@ def time_part(c: str | Column) -> Column:
     return F.date_format(col(c), "HH:mm:ss")
 
 
+def second_of_day(c: str | Column) -> Column:
+    """The time of day as a number, which a hash aggregate can maximise."""
+    return F.hour(col(c)) * 3600 + F.minute(col(c)) * 60 + F.second(col(c))
+
+
+def clock_of(seconds: str | Column) -> Column:
+    """'HH:mm:ss' of a second of the day."""
+    s = col(seconds)
+    parts = [F.floor(s / 3600), F.floor(s / 60) % 60, s % 60]
+    return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
+
+
 def minute_of_day(c: str | Column) -> Column:
     return F.hour(col(c)) * 60 + F.minute(col(c))
 

@@ -2,14 +2,15 @@
 
 Spark's own exact `percentile` brings every distinct value into one task. Here each pass counts
 the rows in a fixed number of slices around the wanted ranks; the next pass looks only inside the
-slices that hold them. A pass is one scan with a small aggregate, and a value that repeats in a
-third of the rows ends the search at once.
+slices that hold them. A pass is one scan with a small aggregate for all columns together, and a
+value that repeats in a third of the rows ends the search at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from math import ceil
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from math import ceil, isfinite
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,59 +18,77 @@ from pyspark.sql import functions as F
 SLICES = 2048
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float]:
-    """The value at rank ceil(p * n) (at least 1) for each probability; nulls are left out."""
-    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    total, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    if not total:
-        return []
-    found: dict[int, float] = {}
-    ranks = [max(1, ceil(round(p * total, 6))) for p in probabilities]
-    # open slices: (low, high, rows below the slice) and the ranks searched inside each
-    open_slices = {(low, high, 0): sorted(set(ranks))}
-    while open_slices:
-        found.update({r: s[0] for s, rs in open_slices.items() if s[0] == s[1] for r in rs})
-        open_slices = {s: rs for s, rs in open_slices.items() if s[0] != s[1]}
-        if not open_slices:
-            break
-        bounds = list(open_slices)
-        slice_no = F.lit(None).cast("int")
-        piece = F.lit(None).cast("int")
-        for i, (lo, hi, _) in enumerate(bounds):
-            inside = F.col("v").between(lo, hi)
-            width = (hi - lo) / SLICES
-            step = F.floor((F.col("v") - lo) / F.lit(width)) if width else F.lit(0)
-            slice_no = F.when(inside, i).otherwise(slice_no)
-            piece = F.when(inside, F.least(step, F.lit(SLICES - 1)).cast("int")).otherwise(piece)
-        counts = (
-            values.select("v", slice_no.alias("s"), piece.alias("p"))
-            .where("s is not null")
-            .groupBy("s", "p")
-            .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .orderBy("s", "p")
-            .collect()  # at most SLICES rows per wanted rank
-        )
-        following: dict[tuple[float, float, int], list[int]] = {}
-        for i, bound in enumerate(bounds):
-            below = bound[2]
-            for row in (r for r in counts if r.s == i):
-                inside = [r for r in open_slices[bound] if below < r <= below + row.n]
-                if inside:
-                    following[(row.lo, row.hi, below)] = inside
-                below += row.n
-        open_slices = following
-    return [found[r] for r in ranks]
+@dataclass(frozen=True)
+class Slice:
+    """A range of values of one column, with the number of rows below it."""
+
+    column: int
+    low: float
+    high: float
+    below: int
+
+    @property
+    def width(self) -> float:
+        return (self.high - self.low) / SLICES
+
+
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
+    """{column: probabilities} to {column: values}: the value at rank ceil(p * n), at least 1.
+
+    Nulls and NaN are left out. Several passes read `df`; cut the lineage of an expensive one first.
+    """
+    names = list(wanted)
+    pairs = [F.struct(F.lit(i).alias("c"), F.col(n).cast("double").alias("v")) for i, n in enumerate(names)]
+    values = df.select(F.inline(F.array(*pairs))).where("v is not null and not isnan(v)")
+    ranges = values.groupBy("c").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    ranks = {r.c: [max(1, ceil(round(p * r.n, 6))) for p in wanted[names[r.c]]] for r in ranges}
+    found: dict[tuple[int, int], float] = {}
+    todo = {Slice(r.c, r.lo, r.hi, 0): sorted(set(ranks[r.c])) for r in ranges}
+    while todo:
+        for s in [s for s in todo if s.low == s.high]:
+            found.update({(s.column, r): s.low for r in todo.pop(s)})
+        todo = _narrow(values, todo) if todo else {}
+    return {names[c]: [found[c, r] for r in rs] for c, rs in ranks.items()}
+
+
+def _narrow(values: DataFrame, todo: Mapping[Slice, list[int]]) -> dict[Slice, list[int]]:
+    """One pass: cut every open slice into pieces and keep those that hold a wanted rank."""
+    slices = list(todo)
+    number, piece = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for i, s in enumerate(slices):
+        if not isfinite(s.width) or s.width == 0:
+            raise ValueError("values too far apart or too close for exact quantiles")
+        inside = (F.col("c") == s.column) & F.col("v").between(s.low, s.high)
+        step = F.least(F.floor((F.col("v") - F.lit(s.low)) / F.lit(s.width)), F.lit(SLICES - 1))
+        number = F.when(inside, i).otherwise(number)
+        piece = F.when(inside, step.cast("int")).otherwise(piece)
+    counts = (
+        values.select("v", number.alias("s"), piece.alias("p"))
+        .where("s is not null")
+        .groupBy("s", "p")
+        .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .collect()  # at most SLICES rows per wanted rank
+    )
+    kept: dict[Slice, list[int]] = {}
+    for i, s in enumerate(slices):
+        below = s.below
+        for row in sorted((r for r in counts if r.s == i), key=lambda r: r.p):
+            inside = [r for r in todo[s] if below < r <= below + row.n]
+            if inside:
+                kept[Slice(s.column, row.lo, row.hi, below)] = inside
+            below += row.n
+    return kept
 
 
 def describe(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, sample deviation, smallest, exact quantiles and largest value of a column."""
-    cuts = exact_quantiles(df, column, probabilities)
+    cuts = exact_quantiles(df, {column: probabilities}).get(column, [None] * len(probabilities))
     value = F.col(column).cast("double")
     return df.agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("sd"),
         F.min(value).alias("low"),
-        *[F.lit(v).alias(f"q{round(p * 100)}") for p, v in zip(probabilities, cuts)],
+        *[F.lit(v).cast("double").alias(f"q{round(p * 100)}") for p, v in zip(probabilities, cuts)],
         F.max(value).alias("high"),
     )

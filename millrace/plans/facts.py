@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import calendar_age, time_part
+from ..functions.dates import calendar_age, clock_of, second_of_day, time_part
 from ..functions.keys import label_id, row_hash, surrogate_key
 from ..functions.numbers import exact_sum
 from ..operators.aggregates import pick_by_label
@@ -118,8 +118,10 @@ def state_pivot(history: DataFrame, key: str, state: str, moment: str, same_row:
         ]
         return latest.select(key, *columns)
     dates = pick_by_label(state, F.to_date(moment), {s: f"{stem}_date" for s, stem in ORDER_STATES.items()})
-    times = pick_by_label(state, time_part(moment), {s: f"{stem}_time" for s, stem in ORDER_STATES.items()})
-    return history.groupBy(key).agg(*[c for pair in zip(dates, times) for c in pair])
+    times = pick_by_label(state, second_of_day(moment), {s: f"{stem}_time" for s, stem in ORDER_STATES.items()})
+    grouped = history.groupBy(key).agg(*[c for pair in zip(dates, times) for c in pair])
+    clocks = [f"{stem}_time" for stem in ORDER_STATES.values()]
+    return grouped.withColumns({c: F.when(F.col(c).isNotNull(), clock_of(c)) for c in clocks})
 
 
 def order_lines(

@@ -12,6 +12,7 @@ from ..operators.quantiles import describe, exact_quantiles
 from ..operators.search import keyword_scores
 from ..operators.shape import top_rows
 from ..operators.windows import previous_date
+from ..session import cut_lineage
 from .base import Inputs, query
 
 MEAN = "CAST(sum(CAST({0} AS DECIMAL(18, 2))) AS DOUBLE) / count({0})"
@@ -140,8 +141,9 @@ def segments_rfm(t: Inputs):
         exact_sum("o_totalprice").cast("double").alias("m"),
     )
     latest = t.orders.agg(F.max(F.to_date("o_orderdate"))).scalar()
-    per = per.withColumn("r", F.date_diff(latest, F.col("last_date")).cast("double"))
-    cuts = {c: exact_quantiles(per, c, (0.2, 0.4, 0.6, 0.8)) for c in ("r", "f", "m")}
+    # One row per customer, read by every pass of the search: kept as a checkpoint.
+    per = cut_lineage(per.withColumn("r", F.date_diff(latest, F.col("last_date")).cast("double")))
+    cuts = exact_quantiles(per, {c: (0.2, 0.4, 0.6, 0.8) for c in ("r", "f", "m")})
 
     def above(c):
         return sum((F.when(F.col(c) > v, 1).otherwise(0) for v in cuts[c]), F.lit(0))

@@ -69,7 +69,7 @@ WITH h AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS sd, strftime(l_shipdat
 p AS (SELECT l_orderkey, max(sd) FILTER (s = 1) AS order_received_date, max(st) FILTER (s = 1) AS order_received_time,
   max(sd) FILTER (s = 4) AS delivered_date, max(st) FILTER (s = 4) AS delivered_time,
   max(sd) FILTER (s = 6) AS returned_date, max(st) FILTER (s = 6) AS returned_time FROM h GROUP BY 1)
-SELECT md5(CAST(l.l_orderkey * 10 + l_linenumber AS VARCHAR)) AS sk_line_id, md5(CAST(o_custkey AS VARCHAR)) AS sk_customer_id,
+SELECT md5(coalesce(CAST(l.l_orderkey * 10 + l_linenumber AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS sk_line_id, md5(CAST(o_custkey AS VARCHAR)) AS sk_customer_id,
   md5(substr(o_orderpriority, 1, 1)) AS sk_address_id, md5(CAST(l_partkey AS VARCHAR)) AS sk_book_id,
   md5(CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) AS sk_date_id, CAST(hour(o_orderdate) * 60 + minute(o_orderdate) AS INTEGER) AS time_id,
   o_orderkey AS nk_order_id, CAST(o_orderdate AS DATE) AS order_date, strftime(o_orderdate, '%H:%M:%S') AS order_time,
