@@ -42,9 +42,9 @@ def distinct_count(df: DataFrame, *columns: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Rows per bin of equal width between the smallest and the largest value."""
     value = F.col(column).cast("double")
-    limits = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    low = limits.select("low").scalar()
-    width = limits.select((F.col("high") - F.col("low")) / bins).scalar()
+    limits = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()  # one scan
+    low = limits.getField("low")
+    width = (limits.getField("high") - low) / bins
     place = F.when(width == 0, 0).otherwise(F.least(F.floor((value - low) / width), F.lit(bins - 1)))
     counts = df.where(value.isNotNull()).groupBy(*by, place.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n")

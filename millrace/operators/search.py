@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def tokens(column: str | Column) -> Column:
-    """Lower-case words of the whole text."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.split(F.lower(c), r"[^\p{L}\p{N}]+")
+def occurrences(text: str | Column, term: str) -> Column:
+    """How often a word (letters and digits only) stands in the whole text, in any case.
 
-
-def _occurrences(words: str, term: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == F.lit(term)))
+    The regular expression runs only on texts that contain the letters at all.
+    """
+    low = F.lower(F.col(text) if isinstance(text, str) else text)
+    word = term.lower()
+    whole_word = rf"(?<![\p{{L}}\p{{N}}])\Q{word}\E(?![\p{{L}}\p{{N}}])"
+    return F.when(F.contains(low, F.lit(word)), F.regexp_count(low, F.lit(whole_word))).otherwise(0)
 
 
 def keyword_scores(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
@@ -25,16 +26,13 @@ def keyword_scores(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
     without any term are left out.
     """
     terms = [t.lower() for t in dict.fromkeys(terms)]
-    words = df.withColumn("_words", tokens(text))
-    counted = words.withColumns(
-        {f"_t{i}": _occurrences("_words", t) for i, t in enumerate(terms)}
-    ).drop("_words")
-    seen = counted.agg(
+    counted = df.withColumns({f"_t{i}": occurrences(text, t) for i, t in enumerate(terms)})
+    seen = counted.agg(F.struct(
         F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"_t{i}") > 0).alias(f"d{i}") for i in range(len(terms))]
-    )
+    )).scalar()  # one scan for all terms
     score, matched = F.lit(0.0), F.lit(0)
     for i in range(len(terms)):
-        rarity = seen.select(F.log((F.col("rows") + 1) / (F.col(f"d{i}") + 1)) + 1).scalar()
+        rarity = F.log((seen.getField("rows") + 1) / (seen.getField(f"d{i}") + 1)) + 1
         score = score + F.col(f"_t{i}") * rarity
         matched = matched + F.when(F.col(f"_t{i}") > 0, 1).otherwise(0)
     return (

@@ -164,9 +164,51 @@ def _assigner(names: list, matrix: np.ndarray, name_type: pa.DataType):
     return assign
 
 
+# Groups held in a task before their partial sums are passed on.
+PARTIAL_GROUPS = 4096
+
+
 def mean_vectors(df: DataFrame, by: str, vector: str, name: str = "vector") -> DataFrame:
-    """The mean vector of each group, combined map-side position by position."""
-    long = df.select(by, F.posexplode(F.col(vector).cast("array<double>")).alias("pos", "x"))
-    means = long.groupBy(by, "pos").agg(F.avg("x").alias("x"))
+    """The mean vector of each group; vectors of a group must have the same length.
+
+    Each task adds up its vectors per group first, so a hot group sends a few partial sums only.
+    """
+    kind = df.schema[by].dataType
+    schema = f"g {kind.simpleString()}, n bigint, v array<double>"
+    key_type = to_arrow_type(kind)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), key_type), pa.array([n for n, _ in sums.values()], pa.int64()),
+                 pa.array([v.tolist() for _, v in sums.values()], pa.list_(pa.float64()))],
+                names=["g", "n", "v"],
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            width = len(batch.column(1)[0])
+            rows = _matrix(batch.column(1), width)
+            keys = batch.column(0).to_pylist()
+            order: dict = {}
+            codes = np.array([order.setdefault(k, len(order)) for k in keys])
+            by_code = np.argsort(codes, kind="stable")
+            starts = np.searchsorted(codes[by_code], np.arange(len(order)))
+            totals, sizes = np.add.reduceat(rows[by_code], starts), np.bincount(codes)
+            for key, code in order.items():
+                n, total = sums.get(key, (0, 0.0))
+                sums[key] = (n + int(sizes[code]), total + totals[code])
+            if len(sums) > PARTIAL_GROUPS:
+                yield out()
+                sums.clear()
+        if sums:
+            yield out()
+
+    narrow = df.select(by, F.col(vector).cast("array<double>").alias("v")).where("v is not null")
+    long = narrow.mapInArrow(partial, schema).select("g", "n", F.posexplode("v").alias("pos", "x"))
+    means = long.groupBy("g", "pos").agg((F.sum("x") / F.sum("n")).alias("x"))
     ordered = F.sort_array(F.collect_list(F.struct("pos", "x")))  # one entry per position
-    return means.groupBy(by).agg(F.transform(ordered, lambda s: s["x"]).alias(name))
+    return means.groupBy(F.col("g").alias(by)).agg(F.transform(ordered, lambda s: s["x"]).alias(name))

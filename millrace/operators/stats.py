@@ -21,36 +21,45 @@ def group_moments(df: DataFrame, level: str, value: str) -> DataFrame:
 
 
 def anova(moments: DataFrame) -> DataFrame:
-    """One-way analysis of variance from the group moments: df_between, df_within, ms_*, f."""
-    spread = F.sum((F.col("n") - 1) * F.coalesce("variance", F.lit(0.0)))
-    base = moments.agg(
-        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"), F.count("level").alias("k"),
-        F.sum("n").alias("rows"), spread.alias("within"),
+    """One-way analysis of variance from the group moments: df_between, df_within, ms_*, f.
+
+    The moments of the levels, one small array, are read once.
+    """
+    row = moments.agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
+        (F.count("level") - 1).alias("df_between"),
+        (F.sum("n") - F.count("level")).alias("df_within"),
+        F.sum((F.col("n") - 1) * F.coalesce("variance", F.lit(0.0))).alias("within"),
+        F.collect_list(F.struct("n", "mean")).alias("m"),
     )
-    grand = base.select("grand").scalar()
-    between = moments.agg(F.sum(F.col("n") * F.pow(F.col("mean") - grand, F.lit(2)))).scalar()
-    return base.select(
-        (F.col("k") - 1).alias("df_between"),
-        (F.col("rows") - F.col("k")).alias("df_within"),
-        (between / (F.col("k") - 1)).alias("ms_between"),
-        (F.col("within") / (F.col("rows") - F.col("k"))).alias("ms_within"),
+    between = F.aggregate(
+        "m", F.lit(0.0), lambda s, g: s + g["n"] * (g["mean"] - F.col("grand")) * (g["mean"] - F.col("grand"))
+    )
+    return row.select(
+        "df_between", "df_within", (between / F.col("df_between")).alias("ms_between"),
+        (F.col("within") / F.col("df_within")).alias("ms_within"),
     ).withColumn("f", F.col("ms_between") / F.col("ms_within"))
 
 
 def pairwise_q(moments: DataFrame) -> DataFrame:
-    """Tukey-Kramer statistic of every pair of levels: k levels give k(k-1)/2 rows."""
-    k = moments.agg(F.count("level").alias("k")).scalar()
-    rest = moments.agg((F.sum("n") - F.count("level")).alias("d"), F.sum((F.col("n") - 1) * F.col("variance")).alias("w"))
-    degrees = rest.select("d").scalar()
-    ms = rest.select(F.col("w") / F.col("d")).scalar()
-    a = moments.select([F.col(c).alias(f"{c}_a") for c in ("level", "n", "mean")])
-    b = moments.select([F.col(c).alias(f"{c}_b") for c in ("level", "n", "mean")])
-    pairs = a.join(b, F.col("level_a") < F.col("level_b"))
-    error = F.sqrt(ms / 2 * (1 / F.col("n_a") + 1 / F.col("n_b")))
-    return pairs.select(
-        "level_a", "level_b", (F.col("mean_a") - F.col("mean_b")).alias("difference"),
-        (F.abs(F.col("mean_a") - F.col("mean_b")) / error).alias("q"),
-        k.alias("levels"), degrees.alias("degrees"),
+    """Tukey-Kramer statistic of every pair of levels: k levels give k(k-1)/2 rows.
+
+    The k moments become one small array, and the pairs are taken from it.
+    """
+    row = moments.agg(
+        F.count("level").alias("levels"),
+        (F.sum("n") - F.count("level")).alias("degrees"),
+        F.sum((F.col("n") - 1) * F.coalesce("variance", F.lit(0.0))).alias("within"),
+        F.sort_array(F.collect_list(F.struct("level", "n", "mean"))).alias("m"),
+    )
+    pairs = F.flatten(F.transform("m", lambda a, i: F.transform(
+        F.filter("m", lambda b: b["level"] > a["level"]), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    long = row.select("levels", "degrees", (F.col("within") / F.col("degrees")).alias("ms"), F.inline(pairs))
+    error = F.sqrt(F.col("ms") / 2 * (1 / F.col("a.n") + 1 / F.col("b.n")))
+    difference = F.col("a.mean") - F.col("b.mean")
+    return long.select(
+        F.col("a.level").alias("level_a"), F.col("b.level").alias("level_b"), difference.alias("difference"),
+        (F.abs(difference) / error).alias("q"), "levels", "degrees",
     )
 
 

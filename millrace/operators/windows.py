@@ -53,15 +53,16 @@ def previous_date(df: DataFrame, entity: Sequence[str], date: str, tie: str) ->
 
 
 def running_mean_newest_first(df: DataFrame, period: Column, total: Column, rows: Column) -> DataFrame:
-    """Per period: the mean of all rows of this and every later period, and the period's rank.
+    """Per period: the mean of all rows of this and every later period, its rank, and the newest period.
 
-    The window runs over one row per period.
+    The window runs over one row per period, so its size is the calendar's.
     """
     periods = df.groupBy(period.alias("period")).agg(total.alias("total"), rows.alias("rows"))
     w = Window.orderBy(F.desc("period"))
     upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return periods.select(
         "period",
+        F.first("period").over(upto).alias("newest"),
         (F.sum("total").over(upto).cast("double") / F.sum("rows").over(upto)).alias("running_mean"),
         F.dense_rank().over(w).alias("place"),
     )

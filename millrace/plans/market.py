@@ -80,10 +80,8 @@ def nearest_listings(t: Tables, city: str, n: int = 5, legacy: bool = False) ->
     """
     lat, lon = point_parts("coordinate")
     places = t["city"].withColumns({"lat": lat, "lon": lon})
-    home = places.where(F.col("city") == city).agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
-    distance = haversine_km(
-        home.select("lat").scalar(), home.select("lon").scalar(), "lat", "lon", legacy=legacy
-    )
+    home = places.where(F.col("city") == city).agg(F.struct(F.min("lat").alias("lat"), F.min("lon").alias("lon"))).scalar()
+    distance = haversine_km(home.getField("lat"), home.getField("lon"), "lat", "lon", legacy=legacy)
     distances = places.select("city_id", "city", distance.alias("distance_km"))
     people = left_lookup(t["users"], distances, {"city_id": "city_id"}, {"city": "city", "distance_km": "distance_km"})
     sellers = left_lookup(t["ads"], people, {"user_id": "user_id"}, {"city": "city", "distance_km": "distance_km"})
@@ -171,10 +169,9 @@ def monthly_bid_pivot(t: Tables, word: str, months: int = 6) -> DataFrame:
     """Running mean bid, newest month first, for the last months; one column per month rank."""
     bids = _bids_of(t, F.col("model_name").ilike(f"%{word}%")).withColumn("month", month_start("date_created"))
     by_month = bids.groupBy("month", "model_name").agg(exact_sum("bid_price").alias("total"), F.count("bid_price").alias("bids"))
-    latest = by_month.agg(F.max("month").alias("m"))
-    recent = by_month.where(F.col("month") >= latest.select(months_before("m", months - 1)).scalar())
-    running = running_mean_newest_first(recent, F.col("month"), F.sum("total"), F.sum("bids"))
-    ranked = recent.select("month", "model_name").join(running.withColumnRenamed("period", "month"), "month")
+    running = running_mean_newest_first(by_month, F.col("month"), F.sum("total"), F.sum("bids"))
+    recent = running.where(F.col("period") >= months_before("newest", months - 1)).withColumnRenamed("period", "month")
+    ranked = by_month.select("month", "model_name").join(recent, "month")
     return ranked.groupBy("model_name").agg(
         *[F.min(F.when(F.col("place") == k, F.col("running_mean"))).alias(f"m_min_{k}") for k in range(months, 0, -1)]
     )

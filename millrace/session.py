@@ -21,6 +21,8 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     """A session with the settings of this package; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
     builder = builder.config("spark.ui.enabled", "false")
+    # Noting the Python line of every Column call takes longer than building the plan.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
