@@ -25,7 +25,7 @@ def keyword_scores(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
     Rarity is ln((1 + rows) / (1 + rows with the term)) + 1, taken over the whole table. Rows
     without any term are left out.
     """
-    terms = [t.lower() for t in dict.fromkeys(terms)]
+    terms = list(dict.fromkeys(t.lower() for t in terms))
     counted = df.withColumns({f"_t{i}": occurrences(text, t) for i, t in enumerate(terms)})
     seen = counted.agg(F.struct(
         F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"_t{i}") > 0).alias(f"d{i}") for i in range(len(terms))]

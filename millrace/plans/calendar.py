@@ -43,7 +43,7 @@ def date_attributes(day: Column) -> dict[str, Column]:
         "month_name": F.date_format(day, "MMMM"),
         "month_name_abbreviated": F.date_format(day, "MMM"),
         "quarter_actual": quarter,
-        "quarter_name": F.array(*[F.lit(w) for w in QUARTER_WORDS]).getItem(quarter - 1),
+        "quarter_name": F.get(F.array(*[F.lit(w) for w in QUARTER_WORDS]), quarter - 1),
         "year_actual": year,
         "first_day_of_week": monday,
         "last_day_of_week": F.date_add(monday, 6),

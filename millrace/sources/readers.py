@@ -61,8 +61,9 @@ def jdbc_slices(column: str, low: int, high: int, parts: int, fetch: int = 10_00
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """table_name of every table and view of a database in the catalog."""
-    return spark.createDataFrame([(t.name,) for t in spark.catalog.listTables(database)], "table_name string")
+    """table_name of every table of a catalog database; without one, temporary views count too."""
+    found = [(t.name,) for t in spark.catalog.listTables(database) if database is None or not t.isTemporary]
+    return spark.createDataFrame(found, "table_name string")
 
 
 def database_tables(spark: SparkSession, options: Mapping[str, str], schema: str = "public") -> DataFrame:
@@ -77,9 +78,12 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     return files.select("path", F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("id"))
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], infer: bool = True) -> DataFrame:
-    """CSV with header; types inferred, or all text."""
-    return spark.read.csv(path, header=True, inferSchema=infer, quote='"', escape='"')
+def read_csv(spark: SparkSession, path: str | Sequence[str], infer: bool = True, multi_line: bool = False) -> DataFrame:
+    """CSV with header; types inferred, or all text.
+
+    `multi_line` allows line breaks inside quotes; such a file cannot be split between tasks.
+    """
+    return spark.read.csv(path, header=True, inferSchema=infer, multiLine=multi_line, quote='"', escape='"')
 
 
 def read_csv_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

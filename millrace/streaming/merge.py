@@ -25,7 +25,7 @@ def history_merge(keys: Sequence[str], check: Sequence[str], run_time: Callable[
 
     def merge(old: DataFrame | None, changes: DataFrame, batch: int) -> DataFrame:
         rows = snapshot(old, changes, keys, run_time(batch), check, close_deleted=False)
-        return rows.withColumn("open", F.col("valid_to").isNull())
+        return rows.withColumn("open", F.col("valid_to").isNull().cast("int"))
 
     return merge
 
@@ -40,7 +40,7 @@ def upsert_merge(keys: Sequence[str], hashed: Sequence[str], run_time: Callable[
             merged = fresh.withColumns({"created_at": at, "updated_at": at})
         else:
             merged = upsert(old, fresh, keys, "row_hash", run_time(batch), keep_absent=True)
-        return merged.withColumn("open", F.lit(True))
+        return merged.withColumn("open", F.lit(1))
 
     return merge
 
@@ -59,14 +59,14 @@ def last_batch(spark: SparkSession, target: str) -> int | None:
 
 
 def read_open(spark: SparkSession, target: str, batch: int) -> DataFrame:
-    return spark.read.parquet(f"{_folder(target, batch)}").where("open").drop("open")
+    return spark.read.parquet(_folder(target, batch)).where("open = 1").drop("open")
 
 
 def read_merged(spark: SparkSession, target: str) -> DataFrame:
     """Open rows of the last batch and the closed rows of all batches."""
     last = last_batch(spark, target)
     rows = spark.read.parquet(target)
-    return rows.where((F.col("batch") == last) | ~F.col("open")).drop("batch", "open")
+    return rows.where((F.col("batch") == last) | (F.col("open") == 0)).drop("batch", "open")
 
 
 def merge_stream(
