@@ -178,5 +178,5 @@ def cascade_delete(
 
 def blocked_deletes(children: DataFrame, child_column: str, removed: DataFrame, parent_column: str) -> DataFrame:
     """NO ACTION: the root rows that may not go because a child row refers to them."""
-    used = children.select(F.col(child_column).alias(parent_column))
+    used = children.select(F.col(child_column).alias(parent_column)).distinct()
     return removed.join(used, parent_column, "left_semi")

@@ -132,19 +132,27 @@ def where_recent_months(df: DataFrame, column: str, months: int, source: DataFra
     """Rows from `months` before the latest date of `source` (the table itself by default)."""
     latest = (df if source is None else source).agg(F.max(F.to_date(column)).alias("latest"))
     start = latest.select(F.add_months("latest", -months)).scalar()
-    return df.where(F.to_date(column) >= start)
+    # The bare column is compared, so that the scan can skip row groups.
+    return df.where(F.col(column) >= start.cast(df.schema[column].dataType))
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def _distinct_keys(other: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """The keys once each: repeats of a hot key are combined before they are shuffled."""
+    return other.select(*([on] if isinstance(on, str) else on)).distinct()
+
+
 def keys_in(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(other, on, "left_semi")
+    """Rows whose key occurs in `other`."""
+    return df.join(_distinct_keys(other, on), on, "left_semi")
 
 
 def keys_not_in(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(other, on, "left_anti")
+    """Rows whose key does not occur in `other`; a null key is kept."""
+    return df.join(_distinct_keys(other, on), on, "left_anti")
 
 
 def stack_tables(tables: Sequence[DataFrame], columns: Sequence[str] = ()) -> DataFrame:

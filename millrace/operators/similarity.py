@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..session import cut_lineage
+
 # Queries are sent to the tasks in blocks of this many rows; a larger set takes several passes.
 QUERY_BLOCK = 1024
 # Scores are compared at this many decimals, so that copies of a vector tie.
@@ -45,15 +47,14 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _blocks(queries: DataFrame, query_id: str, vector: str) -> Iterator[list]:
     """The queries in id order, one bounded block at a time."""
     narrow = queries.select(query_id, F.col(vector).cast("array<double>").alias(vector))
-    last = None
-    while True:
-        rest = narrow if last is None else narrow.where(F.col(query_id) > last)
-        block = rest.orderBy(query_id).limit(QUERY_BLOCK).collect()
-        if block:
-            yield block
-            last = block[-1][0]
+    block = narrow.orderBy(query_id).limit(QUERY_BLOCK).collect()
+    if len(block) == QUERY_BLOCK:
+        narrow = cut_lineage(narrow)  # read once per block from here on
+    while block:
+        yield block
         if len(block) < QUERY_BLOCK:
             return
+        block = narrow.where(F.col(query_id) > block[-1][0]).orderBy(query_id).limit(QUERY_BLOCK).collect()
 
 
 def top_items(

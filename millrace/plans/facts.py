@@ -131,8 +131,8 @@ def order_lines(
     """The order lifecycle fact: one row per order line, ten sources.
 
     Dimensions are built from the sources unless given; pass current rows of a history, not the
-    history. The date and time dimensions have a fixed size and are broadcast. Everything known per
-    order is joined before the order lines multiply the rows.
+    history. No side is broadcast by force: Spark sees the size of the calendar and of the other small
+    tables. Everything known per order is joined before the order lines multiply the rows.
     """
     dim_customer = dim_customer or customer_dimension(sources["customer"])
     dim_address = dim_address or address_dimension(sources["address"], sources["country"])
@@ -154,8 +154,8 @@ def order_lines(
         {"dest_address_status": "address_status"},
     )
     minute = F.concat(F.substring("order_time", 1, 5), F.lit(":00"))
-    facts = left_lookup(orders, F.broadcast(dim_date), {"date_day": "order_date"}, {"sk_date_id": "sk_date_id"})
-    facts = left_lookup(facts, F.broadcast(dim_time), {"time_actual": minute}, {"time_id": "time_id"})
+    facts = left_lookup(orders, dim_date, {"date_day": "order_date"}, {"sk_date_id": "sk_date_id"})
+    facts = left_lookup(facts, dim_time, {"time_actual": minute}, {"time_id": "time_id"})
     facts = left_lookup(
         facts, sources["shipping_method"], {"method_id": "nk_shipping_method_id"},
         {"shipping_method_name": "method_name", "shipping_method_cost": "cost"},
@@ -214,7 +214,7 @@ def customer_behaviour(cust_order: DataFrame, order_line: DataFrame, dim_date: D
         )
     )
     joined = times.join(values, "customer_id", "left")
-    dated = left_lookup(joined, F.broadcast(dim_date), {"date_day": "last_order_date"}, {"sk_date_id": "sk_date_id"})
+    dated = left_lookup(joined, dim_date, {"date_day": "last_order_date"}, {"sk_date_id": "sk_date_id"})
     return dated.select(
         surrogate_key("customer_id").alias("sk_customer_id"),
         "sk_date_id", F.col("customer_id").alias("nk_customer_id"),

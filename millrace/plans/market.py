@@ -18,6 +18,7 @@ from ..functions.geo import haversine_km, point_parts
 from ..functions.numbers import exact_mean, exact_sum, percent_difference, rounded_mean
 from ..operators.aggregates import child_counts
 from ..operators.lookups import left_lookup
+from ..operators.shape import where_recent_months
 from ..operators.windows import first_and_next, running_mean_newest_first
 
 Tables = Mapping[str, DataFrame]
@@ -61,10 +62,8 @@ def listings_per_user(t: Tables) -> DataFrame:
 def listings_of_user(t: Tables, user_id: int) -> DataFrame:
     """The listings of one account, newest first."""
     mine = _sellers(t).where(F.col("user_id") == user_id).select("ads_id", "user_name")
-    cars = _with_year(t, _with_model(t, t["car"].join(mine, "ads_id")))
-    return cars.select("user_name", "brand", "car_name", "year", "price", "date_created").orderBy(
-        F.desc("date_created"), "car_name", "price"
-    )
+    cars = _with_year(t, _with_model(t, t["car"].join(mine, "ads_id"))).orderBy(F.desc("date_created"), "car_id")
+    return cars.select("user_name", "brand", "car_name", "year", "price", "date_created")
 
 
 def listings_by_keyword(t: Tables, word: str) -> DataFrame:
@@ -139,11 +138,8 @@ def first_and_next_bid(t: Tables, model_name: str) -> DataFrame:
 
 def price_against_recent_bids(t: Tables, months: int = 6) -> DataFrame:
     """Mean list price per model against the mean bid of the last months."""
-    latest = t["bid"].agg(F.max(F.to_date("date_created")).alias("d"))
-    start = latest.select(months_before("d", months)).scalar()
-    recent = (
-        t["bid"].where(F.to_date("date_created") >= start)
-        .groupBy("car_id").agg(exact_sum("bid_price").alias("total"), F.count("bid_price").alias("bids"))
+    recent = where_recent_months(t["bid"], "date_created", months).groupBy("car_id").agg(
+        exact_sum("bid_price").alias("total"), F.count("bid_price").alias("bids")
     )
     cars = left_lookup(t["car"], t["model"], {"model_id": "model_id"}, {"model_name": "model_name"})
     offers = (

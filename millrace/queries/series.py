@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import week_start
-from ..functions.numbers import exact_sum
+from ..functions.numbers import exact_mean, exact_sum
 from ..operators import forecast, stats
 from ..operators.lookups import left_lookup
 from ..operators.windows import add_lags, moving_mean
@@ -123,16 +123,12 @@ FEATURES = ["quantity_lag1", "quantity_lag2", "discount", "emailer", "featured"]
 
 def weekly_demand(t: Inputs):
     """Quantity, mean discount and promotion flags per nation, category and week."""
-    lines = t.lineitem.groupBy("l_partkey", "l_suppkey", week_start("l_shipdate").alias("week")).agg(
-        exact_sum("l_quantity").alias("q"), F.sum(F.col("l_discount").cast("decimal(8,2)")).alias("d"),
-        F.count(F.lit(1)).alias("n"), F.max((F.col("l_discount") > 0.05).cast("int")).alias("emailer"),
-        F.max((F.col("l_tax") > 0.04).cast("int")).alias("featured"),
-    )
-    placed = left_lookup(lines, t.part, {"p_partkey": "l_partkey"}, {"p_type": "p_type"})
+    placed = left_lookup(t.lineitem, t.part, {"p_partkey": "l_partkey"}, {"p_type": "p_type"})
     placed = left_lookup(placed, t.supplier, {"s_suppkey": "l_suppkey"}, {"s_nationkey": "s_nationkey"})
-    return placed.groupBy(*SERIES, "week").agg(
-        F.sum("q").cast("double").alias("quantity"), (F.sum("d").cast("double") / F.sum("n")).alias("discount"),
-        F.max("emailer").alias("emailer"), F.max("featured").alias("featured"),
+    return placed.groupBy(*SERIES, week_start("l_shipdate").alias("week")).agg(
+        exact_sum("l_quantity").cast("double").alias("quantity"), exact_mean("l_discount").alias("discount"),
+        F.max((F.col("l_discount") > 0.05).cast("int")).alias("emailer"),
+        F.max((F.col("l_tax") > 0.04).cast("int")).alias("featured"),
     )
 
 

@@ -115,8 +115,7 @@ def minute_join(t: Inputs):
 
     events = t.events.select("event_id", time_part("ts").alias("event_time"))
     minute = F.concat(F.substring("event_time", 1, 5), F.lit(":00"))
-    # 1,440 rows whatever the data
-    return lookups.left_lookup(events, F.broadcast(time_dimension(t.spark)), {"time_actual": minute}, {"time_id": "time_id"})
+    return lookups.left_lookup(events, time_dimension(t.spark), {"time_actual": minute}, {"time_id": "time_id"})
 
 
 @query("two_key_join", """
