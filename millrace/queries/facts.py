@@ -9,6 +9,9 @@ from ..operators.shape import stack_tables
 from ..plans import dimensions as d
 from ..plans import facts as f
 from ..plans.calendar import days_of, mart_date_dimension, time_dimension
+from ..plans.warehouse import ORDER_MART, order_mart, order_mart_checks
+from ..session import scratch_path
+from ..sinks.writers import stage_tables
 from .base import Inputs, query
 
 
@@ -63,7 +66,7 @@ def order_sources(t: Inputs) -> dict:
     }
 
 
-@query("fact_assembly", """
+FACT_SQL = """
 WITH h AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS sd, strftime(l_shipdate, '%H:%M:%S') AS st,
   CASE WHEN l_returnflag = 'R' THEN 6 WHEN l_linestatus = 'F' THEN 4 ELSE 1 END AS s FROM lineitem),
 p AS (SELECT l_orderkey, max(sd) FILTER (s = 1) AS order_received_date, max(st) FILTER (s = 1) AS order_received_time,
@@ -82,7 +85,10 @@ SELECT md5(coalesce(CAST(l.l_orderkey * 10 + l_linenumber AS VARCHAR), '_dbt_uti
   substr(o_orderpriority, 3, 20) AS shipping_method_name, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 1.5::DOUBLE AS shipping_method_cost,
   l.l_orderkey * 10 + l_linenumber AS nk_line_id, l_partkey AS nk_book_id, l_extendedprice AS order_line_price
 FROM orders o LEFT JOIN lineitem l ON o_orderkey = l.l_orderkey LEFT JOIN p ON o_orderkey = p.l_orderkey
-LEFT JOIN customer ON c_custkey = o_custkey AND c_nationkey = CAST(substr(o_orderpriority, 1, 1) AS INTEGER)""")
+LEFT JOIN customer ON c_custkey = o_custkey AND c_nationkey = CAST(substr(o_orderpriority, 1, 1) AS INTEGER)"""
+
+
+@query("fact_assembly", FACT_SQL)
 def fact_assembly(t: Inputs):
     dim_date = mart_date_dimension(days_of(t.orders, "o_orderdate"))
     return f.order_lines(order_sources(t), dim_date, time_dimension(t.spark))
@@ -117,7 +123,7 @@ def event_states(t: Inputs):
     return t.events.select("user_id", state.alias("state"), "ts")
 
 
-@query("customer_behavior", """
+BEHAVIOUR_SQL = """
 WITH o AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d,
   CAST(lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS DATE) AS p FROM orders),
 a AS (SELECT *, (12 * year(d) + month(d)) - (12 * year(p) + month(p)) - CAST(day(d) < day(p) AS INTEGER) AS m,
@@ -130,7 +136,10 @@ v AS (SELECT o_custkey, count(DISTINCT l_orderkey) AS order_frequency, CAST(sum(
   FROM orders LEFT JOIN s ON o_orderkey = l_orderkey GROUP BY 1)
 SELECT md5(CAST(g.o_custkey AS VARCHAR)) AS sk_customer_id, md5(CAST(last_order_date AS VARCHAR)) AS sk_date_id, g.o_custkey AS nk_customer_id,
   avg_days_between_orders, avg_months_between_orders, avg_years_between_orders, last_order_date, order_frequency, average_order_value
-FROM g LEFT JOIN v ON g.o_custkey = v.o_custkey""")
+FROM g LEFT JOIN v ON g.o_custkey = v.o_custkey"""
+
+
+@query("customer_behavior", BEHAVIOUR_SQL)
 def customer_behavior(t: Inputs):
     sources = order_sources(t)
     dim_date = mart_date_dimension(days_of(t.orders, "o_orderdate"))
@@ -291,3 +300,46 @@ def investment_dimensions(t: Inputs):
 SELECT CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS time_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL""")
 def events_per_minute_fact(t: Inputs):
     return t.events.groupBy(minute_of_day("ts").alias("time_id"), F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def mart_check_sql() -> str:
+    """The declared checks over the mart tables in SQL."""
+    tables = {
+        "dim_time": "SELECT CAST(unnest(range(1440)) AS INTEGER) AS time_id",
+        "dim_date": "SELECT md5(CAST(CAST(d AS DATE) AS VARCHAR)) AS sk_date_id FROM (SELECT unnest(generate_series("
+                    "(SELECT min(CAST(o_orderdate AS DATE)) FROM orders), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY)) AS d)",
+        "dim_address": "SELECT md5(CAST(n_nationkey AS VARCHAR)) AS sk_address_id, n_name AS city, r_name AS country_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
+        "dim_author": "SELECT md5(CAST(s_suppkey AS VARCHAR)) AS sk_author_id, s_name AS author_name FROM supplier",
+        "dim_book": "SELECT md5(CAST(p_partkey AS VARCHAR)) AS sk_book_id, p_name AS title, p_type AS isbn13, p_brand AS publisher_name, p_size AS language_name FROM part",
+        "bridge_book_author": "SELECT DISTINCT md5(CAST(l_suppkey AS VARCHAR)) AS sk_author_id, md5(CAST(l_partkey AS VARCHAR)) AS sk_book_id FROM lineitem",
+        "dim_customer": "SELECT md5(CAST(c_custkey AS VARCHAR)) AS sk_customer_id, c_mktsegment AS first_name, lower(c_name) AS email FROM customer",
+        "fct_book_order": f"SELECT * FROM ({FACT_SQL})",
+        "fct_customer_behavior": f"SELECT * FROM ({BEHAVIOUR_SQL})",
+    }
+    far = "DATE '9999-12-31'"
+    parts = []
+    for name, spec in ORDER_MART.items():
+        key = ", ".join(spec.key)
+        nulls = " OR ".join(f"{c} IS NULL" for c in spec.key)
+        single = spec.key if len(spec.key) == 1 else ()
+        checks = [(f"not_null:{c}", f"SELECT count(*) FROM {name} WHERE {c} IS NULL") for c in dict.fromkeys([*single, *spec.foreign, *spec.not_null])]
+        checks += [(f"not_negative:{c}", f"SELECT count(*) FROM {name} WHERE {c} < 0") for c in spec.not_negative]
+        checks += [(f"date_order:{a},{b}", f"SELECT count(*) FROM {name} WHERE coalesce({a}, {far}) > coalesce({b}, {far})") for a, b in spec.ordered]
+        checks += [(f"unique:{c}", f"SELECT count(*) FROM (SELECT 1 FROM {name} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)") for c in single]
+        checks.append((f"primary_key:{key.replace(' ', '')}", f"SELECT count(*) FROM (SELECT 1 FROM {name} GROUP BY {key} HAVING count(*) > 1 OR {nulls})"))
+        checks += [(f"foreign_key:{c}", f"SELECT count(DISTINCT {c}) FROM {name} WHERE {c} NOT IN (SELECT {pc} FROM {p})") for c, (p, pc) in spec.foreign.items()]
+        parts += [f"SELECT '{name}' AS table_name, '{check}' AS check_name, ({sql}) AS failures" for check, sql in checks]
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({sql})" for n, sql in tables.items())
+    return f"WITH {ctes}\nSELECT *, failures = 0 AS passed FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
+@query("order_mart_checks", mart_check_sql())
+def order_mart_checks_query(t: Inputs):
+    """The 69 declared checks of the order mart."""
+    sources = order_sources(t)
+    sources["author"] = t.supplier.select(F.col("s_suppkey").alias("author_id"), F.col("s_name").alias("author_name"))
+    sources["book_author"] = t.lineitem.select(F.col("l_suppkey").alias("author_id"), F.col("l_partkey").alias("book_id")).distinct()
+    mart = order_mart(sources, mart_date_dimension(days_of(t.orders, "o_orderdate")))
+    home = scratch_path(t.spark, "mart")  # written once, read by all checks
+    written = {n: t.spark.read.parquet(f"{home}/{n}") for n in stage_tables(mart, home)}
+    return order_mart_checks(written).report()
