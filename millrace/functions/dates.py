@@ -49,11 +49,6 @@ def date_part(c: str | Column) -> Column:
     return F.to_date(col(c))
 
 
-def time_part(c: str | Column) -> Column:
-    """The time of day as 'HH:mm:ss'; text order is time order."""
-    return F.date_format(col(c), "HH:mm:ss")
-
-
 def second_of_day(c: str | Column) -> Column:
     """The time of day as a number, which a hash aggregate can maximise."""
     return F.hour(col(c)) * 3600 + F.minute(col(c)) * 60 + F.second(col(c))
@@ -66,6 +61,11 @@ def clock_of(seconds: str | Column) -> Column:
     return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
 
 
+def time_part(c: str | Column) -> Column:
+    """The time of day as 'HH:mm:ss', whatever the session's time zone; text order is time order."""
+    return F.when(col(c).isNotNull(), clock_of(second_of_day(c)))
+
+
 def minute_of_day(c: str | Column) -> Column:
     return F.hour(col(c)) * 60 + F.minute(col(c))
 

@@ -27,12 +27,13 @@ def value_frequencies(df: DataFrame) -> DataFrame:
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def profile_table(df: DataFrame, table: str) -> DataFrame:
+def profile_table(df: DataFrame, table: str, approximate: bool = False) -> DataFrame:
     """One row per column: type, null share, duplicates, smallest, largest, most frequent value.
 
     Two scans: one aggregate for the nulls and limits, one count of the values. Duplicates are
     rows minus distinct non-null values. Numbers and dates get limits, the rest a mode; equally
-    frequent values are decided by the smaller one.
+    frequent values are decided by the smaller one. `approximate=True` needs one scan and no shuffle
+    of values: the distinct values are estimated and there is no mode.
     """
     fields = df.schema.fields
     empty = {
@@ -42,6 +43,8 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(fields):
         aggs.append(F.count_if(empty[f.name]).alias(f"e{i}"))
+        if approximate:
+            aggs.append(F.approx_count_distinct(f.name).alias(f"d{i}"))
         if _ordered(f.dataType):
             aggs += [F.min(f.name).cast("string").alias(f"lo{i}"), F.max(f.name).cast("string").alias(f"hi{i}")]
     wide = df.agg(*aggs)
@@ -55,10 +58,18 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
             F.when(F.col("rows") > 0, F.col(f"e{i}") * 100.0 / F.col("rows")).otherwise(0.0).alias("null_percentage"),
             (F.col(f"lo{i}") if _ordered(f.dataType) else nothing).alias("min"),
             (F.col(f"hi{i}") if _ordered(f.dataType) else nothing).alias("max"),
+            (F.col(f"d{i}") if approximate else F.lit(None).cast("bigint")).alias("estimate"),
         )
         for i, f in enumerate(fields)
     ]
     limits = wide.select(F.inline(F.array(*rows)))
+    if approximate:
+        estimate = F.least("estimate", "num_rows")
+        return limits.select(
+            F.lit(table).alias("table_name"), "column_name", "num_rows", "num_columns", "data_type", "null_percentage",
+            estimate.alias("distinct_values"), (F.col("num_rows") - estimate).alias("duplicate_count"), "min", "max",
+            nothing.alias("mode"),
+        )
     values = (
         value_frequencies(df)
         .groupBy("column_name")

@@ -34,8 +34,9 @@ def prepared(t: Inputs):
 @query("classify_cv")
 def classify_cv(t: Inputs):
     """Ten-fold accuracy of a logistic regression and of boosted trees on standardised features."""
-    return learn.cross_validate(prepared(t), {
-        "logistic": Pipeline(stages=[learn.scaler(), learn.logistic()]),
+    rows = prepared(t)
+    return learn.cross_validate(rows, {
+        "logistic": Pipeline(stages=[learn.scaler(), learn.logistic(rows=rows.count())]),
         "boosted": Pipeline(stages=[learn.scaler(), learn.boosted(maxIter=10, maxDepth=3)]),
     })
 

@@ -37,6 +37,21 @@ def write_table(
         writer.save(f"{location}/{name}")
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """A catalog table bucketed and sorted by its join keys.
+
+    Tables with the same buckets are joined on these keys without a shuffle. Rows are spread by the
+    keys first, so that each bucket is one file.
+    """
+    spread = df.repartition(buckets, *keys)
+    spread.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
+def copy_tables(tables: Mapping[str, DataFrame], location: str, **where) -> list[str]:
+    """Full extraction: every table as it is to the staging layer."""
+    return stage_tables(tables, location, **where)
+
+
 def stage_tables(
     tables: Mapping[str, DataFrame], location: str, mode: str = "overwrite", at_once: int = 4, **where
 ) -> list[str]:

@@ -130,6 +130,24 @@ def test_catalog_tables(spark):
     assert [r.table_name for r in readers.list_tables(spark, "mill").collect()] == ["dim_x"]
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    for name in ("left_side", "right_side"):
+        writers.write_bucketed(spark.range(1000).selectExpr("id as k", "id * 2 as v"), f"default.{name}", ["k"], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("left_side").join(spark.table("right_side"), "k")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and joined.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_copy_tables(spark, tmp_path):
+    tables = readers.read_tables(spark, ["region", "nation"], location=SMALL)
+    assert writers.copy_tables(tables, str(tmp_path)) == ["region", "nation"]
+    assert spark.read.parquet(f"{tmp_path}/nation").count() == 25
+
+
 def test_csv_out(spark, tmp_path):
     writers.write_csv(spark.range(5), f"{tmp_path}/a")
     assert readers.read_csv(spark, f"{tmp_path}/a").count() == 5

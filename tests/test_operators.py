@@ -226,6 +226,13 @@ def test_cascade(spark):
     assert rows(q.blocked_deletes(tables["b"], "a_id", tables["a"], "id")) == [(1,), (2,)]
 
 
+def test_estimated_profile(spark):
+    df = spark.range(1000).selectExpr("id % 10 as k", "cast(id as string) as s")
+    got = {r.column_name: r for r in profile_table(df, "t", approximate=True).collect()}
+    assert got["k"].distinct_values == 10 and abs(got["s"].distinct_values - 1000) < 150 and got["k"].max == "9"
+    assert profile_table(df, "t", approximate=True).columns == profile_table(df, "t").columns
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, "b", None), (1, "a", 2.0), (2, "", 2.0), (None, "a", 3.0), (3, "b", 3.0)], "i int, s string, d double")
     got = {r.column_name: r for r in profile_table(df, "t").collect()}
