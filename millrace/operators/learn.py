@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..session import cut_lineage
+
 SEED = 10
 FOLDS = 10
 
@@ -56,15 +58,20 @@ def boosted(features: str = "scaled", label: str = "label", **settings) -> GBTCl
     return GBTClassifier(featuresCol=features, labelCol=label, seed=SEED, **settings)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """The rows of many passes: a checkpoint, which outlives any executor, cached on top."""
+    return cut_lineage(df).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def cross_validate(
     df: DataFrame, estimators: Mapping[str, Estimator], folds: int = FOLDS, label: str = "label", parallel: int = 8,
 ) -> DataFrame:
     """model, accuracy, deviation over shuffled folds; one row per estimator.
 
-    The prepared rows are kept on the executors, spilling to disk, while the folds are fitted.
+    The prepared rows are written once and cached while the folds are fitted.
     """
     rows = []
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = _kept(df)
     try:
         for name, estimator in estimators.items():
             mean, deviation = _fold_scores(kept, estimator, [{}], folds, label, parallel)
@@ -93,7 +100,7 @@ def eliminate_features(
     best accuracy is chosen (the smaller number, if two are equal). `features` is a vector column
     with the given names.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = _kept(df)
     left, steps = list(range(len(names))), []
     try:
         rows = kept.count()
@@ -133,7 +140,7 @@ def random_search(
         if pick not in seen:
             seen.add(pick)
             chosen.append({p: v[i] for (p, v), i in zip(grid.items(), pick)})
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = _kept(df)
     try:
         means, deviations = _fold_scores(kept, estimator, chosen, folds, label, parallel)
     finally:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import learn
 from ..operators.embed import hashed_text_vectors
+from ..session import cut_lineage
 from .base import Inputs, query
 
 NUMERIC = ["log_chars", "words", "lines", "upper_share", "digit_share"]
@@ -34,7 +35,7 @@ def prepared(t: Inputs):
 @query("classify_cv")
 def classify_cv(t: Inputs):
     """Ten-fold accuracy of a logistic regression and of boosted trees on standardised features."""
-    rows = prepared(t)
+    rows = cut_lineage(prepared(t))
     return learn.cross_validate(rows, {
         "logistic": Pipeline(stages=[learn.scaler(), learn.logistic(rows=rows.count())]),
         "boosted": Pipeline(stages=[learn.scaler(), learn.boosted(maxIter=10, maxDepth=3)]),
@@ -43,7 +44,7 @@ def classify_cv(t: Inputs):
 
 @query("feature_elimination")
 def feature_elimination(t: Inputs):
-    rows = prepared(t)
+    rows = cut_lineage(prepared(t))
     names = [f"lang_{i}" for i in range(rows.first().features.size - len(NUMERIC))] + NUMERIC
     return learn.eliminate_features(rows, names)
 
