@@ -19,11 +19,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Schemas of the given tables, which do not change while queries run.
+_SCHEMAS: dict = {}
+
+
 class Inputs(Tables):
     """The given tables of one folder, also as attributes: `t.orders`."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        super().__init__(spark, folder, TABLE_NAMES)
+        super().__init__(spark, folder, TABLE_NAMES, schemas=_SCHEMAS)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

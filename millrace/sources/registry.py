@@ -5,15 +5,24 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .readers import read_table
 
 
 class Tables(Mapping):
-    """Tables of one folder, read when first asked for: `tables["orders"]`."""
+    """Tables of one folder, read when first asked for: `tables["orders"]`.
 
-    def __init__(self, spark: SparkSession, location: str, names: Sequence[str], source: str = "parquet"):
+    `schemas` remembers the schema of each table between registries of the same folder, so that
+    only the first one has to open files to find it. Leave it out where schemas may change.
+    """
+
+    def __init__(
+        self, spark: SparkSession, location: str, names: Sequence[str], source: str = "parquet",
+        schemas: dict[tuple[str, str], StructType] | None = None,
+    ):
         self.spark, self.location, self.source = spark, location, source
+        self.schemas = {} if schemas is None else schemas
         self._names = list(names)
         self._read: dict[str, DataFrame] = {}
 
@@ -21,7 +30,9 @@ class Tables(Mapping):
         if name not in self._names:
             raise KeyError(name)
         if name not in self._read:
-            self._read[name] = read_table(self.spark, name, self.source, self.location)
+            df = read_table(self.spark, name, self.source, self.location, schema=self.schemas.get((self.location, name)))
+            self.schemas[self.location, name] = df.schema
+            self._read[name] = df
         return self._read[name]
 
     def __iter__(self) -> Iterator[str]:
