@@ -56,7 +56,7 @@ def unused(df: DataFrame, *wanted: str) -> list[str]:
 
 def remainder(id_column, modulus: int):
     """crc32 of the id as text, modulo. A null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus
+    return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
