@@ -1,6 +1,6 @@
 """The queries of this folder and the SQL that some of them have to agree with."""
 
-from . import language, lm, packing, pieces, pii, rules, urls  # noqa: F401
+from . import language, lm, packing, pieces, pii, rules, urls, vectors  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
