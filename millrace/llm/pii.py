@@ -185,7 +185,7 @@ _MORE_TYPE = pa.list_(pa.struct([("kind", pa.int32()), ("a", pa.int32()), ("b",
 
 def candidates(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` with the base spans and candidates of every text."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema], _FOUND])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {k: i for i, k in enumerate(KINDS)}
@@ -201,7 +201,7 @@ def candidates(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
                 [*[column(batch, c) for c in keep], pa.array(base, _BASE_TYPE), pa.array(more, _MORE_TYPE)], names=[*keep, "base", "more"]
             )
 
-    return docs.select(*keep, *[c for c in [text] if c not in keep]).mapInArrow(work, f"{fields}, {_FOUND}")
+    return docs.select(*keep, *[c for c in [text] if c not in keep]).mapInArrow(work, fields)
 
 
 def reliabilities(patterns: dict[str, float], rounds: int = 200) -> tuple[float, np.ndarray, dict[str, float]]:
