@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,13 +52,13 @@ def linear_fits(df: DataFrame, series: Sequence[str], features: Sequence[str], v
 
     @F.pandas_udf("array<double>")
     def solve(xx: pd.Series, xy: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(xx, xy):
-            if a is None or any(v is None or v != v for v in a):
-                out.append(None)
-                continue
-            matrix = np.array(a, dtype=float).reshape(size, size)
-            out.append(np.linalg.solve(matrix + 1e-8 * np.eye(size), np.array(b, dtype=float)).tolist())
+        whole = np.array([[np.nan] * size * size if a is None else a for a in xx], dtype=float).reshape(-1, size, size)
+        target = np.array([[np.nan] * size if b is None else b for b in xy], dtype=float).reshape(-1, size, 1)
+        sound = np.isfinite(whole).all(axis=(1, 2)) & np.isfinite(target).all(axis=(1, 2))
+        out = np.full(len(whole), None, dtype=object)
+        if sound.any():
+            found = np.linalg.solve(whole[sound] + 1e-8 * np.eye(size), target[sound])
+            out[sound] = [list(v) for v in found[:, :, 0]]
         return pd.Series(out)
 
     usable = df.dropna(subset=list(features))
@@ -76,25 +77,28 @@ def predict_linear(df: DataFrame, fits: DataFrame, series: Sequence[str], featur
 def predict_boosted(
     df: DataFrame, series: Sequence[str], features: Sequence[str], value: str, iterations: int = 20, depth: int = 4
 ) -> DataFrame:
-    """Adds `boosted`: boosted trees fitted on the training rows of all series together."""
-    usable = df.dropna(subset=list(features))
-    indexed = [StringIndexer(inputCol=c, outputCol=f"_{c}", handleInvalid="keep") for c in series]
+    """Adds `boosted`: boosted trees fitted on the training rows of all series together.
+
+    A series is known to the trees by the mean and the number of its training rows, so that any
+    number of series will do. Every row is kept; `boosted` is null where a feature is null.
+    """
+    known = df.where(~F.col("test")).groupBy(*series).agg(F.avg(value).alias("_mean"), F.count(value).cast("double").alias("_rows"))
+    numbers = {f"_f{i}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for i, c in enumerate(features)}
+    rows = df.join(known, list(series), "left").fillna(0.0, ["_mean", "_rows"]).withColumns(numbers)
+    usable = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in features], F.lit(True))
     stages = [
-        *indexed,
-        VectorAssembler(inputCols=[f"_{c}" for c in series] + list(features), outputCol="_features"),
-        GBTRegressor(
-            featuresCol="_features", labelCol=value, predictionCol="boosted", maxIter=iterations, maxDepth=depth,
-            maxBins=256, seed=10,
-        ),
+        VectorAssembler(inputCols=["_mean", "_rows", *numbers], outputCol="_features"),
+        GBTRegressor(featuresCol="_features", labelCol=value, predictionCol="_boosted", maxIter=iterations, maxDepth=depth, seed=10),
     ]
-    model = Pipeline(stages=stages).fit(usable.where(~F.col("test")))
-    return model.transform(usable).drop("_features", *[f"_{c}" for c in series])
+    model = Pipeline(stages=stages).fit(rows.where(usable & ~F.col("test") & F.col(value).isNotNull()))
+    found = model.transform(rows).withColumn("boosted", F.when(usable, F.col("_boosted")))
+    return found.drop("_features", "_boosted", "_mean", "_rows", *numbers)
 
 
 def mean_absolute_errors(df: DataFrame, value: str, models: Sequence[str]) -> DataFrame:
-    """model, mae, rows over the held-out periods."""
+    """model, mae, rows over the held-out periods for which every model has a value."""
     pairs = [F.struct(F.lit(m).alias("model"), F.abs(F.col(m) - F.col(value)).alias("error")) for m in models]
-    long = df.where("test").select(F.inline(F.array(*pairs)))
+    long = df.where("test").dropna(subset=[value, *models]).select(F.inline(F.array(*pairs)))
     return long.groupBy("model").agg(F.avg("error").alias("mae"), F.count("error").alias("rows"))
 
 

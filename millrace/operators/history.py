@@ -56,7 +56,7 @@ def snapshot(
     fresh = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.struct(*attributes).alias("new"))
     same_key = None
     for k in keys:
-        part = F.col(f"_o_{k}") == F.col(f"_n_{k}")
+        part = F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}"))
         same_key = part if same_key is None else same_key & part
     joined = old.join(fresh, same_key, "full_outer")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from math import ceil, isfinite
+from math import ceil, inf, isfinite
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,15 +35,26 @@ class Slice:
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
     """{column: probabilities} to {column: values}: the value at rank ceil(p * n), at least 1.
 
-    Nulls and NaN are left out. Several passes read `df`; cut the lineage of an expensive one first.
+    Nulls and NaN are left out; infinities are values like others. Several passes read `df`; cut the lineage of an expensive one first.
     """
     names = list(wanted)
     pairs = [F.struct(F.lit(i).alias("c"), F.col(n).cast("double").alias("v")) for i, n in enumerate(names)]
     values = df.select(F.inline(F.array(*pairs))).where("v is not null and not isnan(v)")
-    ranges = values.groupBy("c").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    endless = {"minus": F.col("v") == float("-inf"), "plus": F.col("v") == float("inf")}
+    finite = F.when(F.abs("v") < float("inf"), F.col("v"))
+    ranges = values.groupBy("c").agg(
+        F.count("v").alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+        *[F.count_if(c).alias(k) for k, c in endless.items()],
+    ).collect()
     ranks = {r.c: [max(1, ceil(round(p * r.n, 6))) for p in wanted[names[r.c]]] for r in ranges}
     found: dict[tuple[int, int], float] = {}
-    todo = {Slice(r.c, r.lo, r.hi, 0): sorted(set(ranks[r.c])) for r in ranges}
+    todo = {}
+    for r in ranges:
+        found.update({(r.c, k): -inf for k in ranks[r.c] if k <= r.minus})
+        found.update({(r.c, k): inf for k in ranks[r.c] if k > r.n - r.plus})
+        left = sorted({k for k in ranks[r.c] if r.minus < k <= r.n - r.plus})
+        if left:
+            todo[Slice(r.c, r.lo, r.hi, r.minus)] = left
     while todo:
         for s in [s for s in todo if s.low == s.high]:
             found.update({(s.column, r): s.low for r in todo.pop(s)})
@@ -56,10 +67,14 @@ def _narrow(values: DataFrame, todo: Mapping[Slice, list[int]]) -> dict[Slice, l
     slices = list(todo)
     number, piece = F.lit(None).cast("int"), F.lit(None).cast("int")
     for i, s in enumerate(slices):
-        if not isfinite(s.width) or s.width == 0:
-            raise ValueError("values too far apart or too close for exact quantiles")
         inside = (F.col("c") == s.column) & F.col("v").between(s.low, s.high)
-        step = F.least(F.floor((F.col("v") - F.lit(s.low)) / F.lit(s.width)), F.lit(SLICES - 1))
+        if isfinite(s.high - s.low) and s.width > 0:
+            step = F.floor((F.col("v") - F.lit(s.low)) / F.lit(s.width))
+        elif s.width > 0:  # the range itself is beyond the largest number
+            step = F.floor((F.col("v") / 4 - F.lit(s.low / 4)) / F.lit(s.high / 4 - s.low / 4) * SLICES)
+        else:  # neighbours among the smallest numbers
+            step = F.floor((F.col("v") - F.lit(s.low)) / F.lit(s.high - s.low))
+        step = F.least(step, F.lit(SLICES - 1))
         number = F.when(inside, i).otherwise(number)
         piece = F.when(inside, step.cast("int")).otherwise(piece)
     counts = (
@@ -83,7 +98,7 @@ def _narrow(values: DataFrame, todo: Mapping[Slice, list[int]]) -> dict[Slice, l
 def describe(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, sample deviation, smallest, exact quantiles and largest value of a column."""
     cuts = exact_quantiles(df, {column: probabilities}).get(column, [None] * len(probabilities))
-    value = F.col(column).cast("double")
+    value = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))  # NaN is no value
     return df.agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),

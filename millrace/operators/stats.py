@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import exp, lgamma, log, sqrt
+from math import exp, lgamma, log, log1p, sqrt
 
 import numpy as np
 import pandas as pd
@@ -102,28 +102,42 @@ def studentized_range_sf(q: float, levels: float, degrees: float) -> float:
         inner = np.clip(at_z - _normal_cdf(z - w), 0, 1) ** (levels - 1)
         return float(levels * (9.0 * weights * density * inner).sum())
 
-    if degrees > 5000:
-        return max(0.0, 1 - range_cdf(q))
-    # s = chi / sqrt(degrees), integrated around its mean
+    # s = chi / sqrt(degrees), integrated around its mean; its density is scaled by its own sum, so
+    # that no constant has to be found from large numbers that nearly cancel.
     half = 8.0 / sqrt(2 * degrees)
     low, high = max(1e-9, 1 - half), 1 + half + 4.0 / degrees
     s = low + (nodes + 1) / 2 * (high - low)
-    const = degrees / 2 * log(degrees) - lgamma(degrees / 2) - (degrees / 2 - 1) * log(2)
-    chi = np.exp(const + (degrees - 1) * np.log(s) - degrees * s * s / 2)
-    return max(0.0, 1 - float((weights * (high - low) / 2 * chi * [range_cdf(q * v) for v in s]).sum()))
+    away = s - 1
+    logs = degrees * (np.log1p(away) - away - away * away / 2) - np.log(s)
+    chi = weights * np.exp(logs - logs.max())
+    return max(0.0, 1 - float((chi * [range_cdf(q * v) for v in s]).sum() / chi.sum()))
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
     """Upper tail of the F distribution, through the incomplete beta function."""
-    return _incomplete_beta(d2 / 2, d1 / 2, d2 / (d2 + d1 * f))
+    return _incomplete_beta(d2 / 2, d1 / 2, d2 / (d2 + d1 * f), d1 * f / (d2 + d1 * f))
 
 
-def _incomplete_beta(a: float, b: float, x: float) -> float:
-    if x <= 0 or x >= 1:
+def _log_gamma_ratio(a: float, b: float) -> float:
+    """log(gamma(a + b) / gamma(a)), without the loss of taking two large logarithms apart."""
+    shift = 0.0
+    while a < 30:
+        shift += log1p(b / a)
+        a += 1
+    c = a + b
+    series = (1 / c - 1 / a) / 12 - (1 / c**3 - 1 / a**3) / 360 + (1 / c**5 - 1 / a**5) / 1260
+    return (a - 0.5) * log1p(b / a) + b * log(c) - b + series - shift
+
+
+def _incomplete_beta(a: float, b: float, x: float, y: float) -> float:
+    """The regularised incomplete beta function at x, where y = 1 - x."""
+    if x <= 0 or y <= 0:
         return min(max(x, 0.0), 1.0)
     if x > (a + 1) / (a + b + 2):
-        return 1 - _incomplete_beta(b, a, 1 - x)
-    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(1 - x)) / a
+        return 1 - _incomplete_beta(b, a, y, x)
+    large, small = max(a, b), min(a, b)
+    powers = a * (log1p(-y) if y < 0.5 else log(x)) + b * (log1p(-x) if x < 0.5 else log(y))
+    front = exp(_log_gamma_ratio(large, small) - lgamma(small) + powers) / a
     # continued fraction, evaluated from the innermost term outwards
     value = 0.0
     for m in range(400, 0, -1):

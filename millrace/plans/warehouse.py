@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality as q
 from ..operators.history import current_rows, snapshot
@@ -37,6 +38,8 @@ def investment_tables(
     tables["startup_event"] = company_events(sources, tables, one_office)
     tables["event_type"] = d.event_type_table(labels, "event_type")
     tables["date"] = date_dimension(days(spark, *calendar))
+    if run_time is None:  # one time for all tables
+        run_time = str(spark.range(1).select(F.localtimestamp()).first()[0])
     return {name: stamp(df, run_time) for name, df in tables.items()}
 
 

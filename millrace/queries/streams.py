@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from ..operators import prefs
@@ -23,13 +25,18 @@ def stream_ingest(t: Inputs):
     return t.spark.read.schema(t.events.schema).parquet(f"{home}/rows")
 
 
+def batch_time(batch: int) -> str:
+    """The run time of a batch: a day later than that of the one before."""
+    return f"{date(2025, 1, 1) + timedelta(days=batch)} 00:00:00"
+
+
 @query("stream_merge", """
 SELECT user_id, event_type, props, TIMESTAMP '2025-01-01 00:00:00' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")
 def stream_merge(t: Inputs):
     """The latest event of each user kept as a history."""
     home = scratch_path(t.spark, "merge")
-    job = merge.history_merge(["user_id"], ["event_type", "props"], lambda batch: f"2025-01-{batch + 1:02d} 00:00:00")
+    job = merge.history_merge(["user_id"], ["event_type", "props"], batch_time)
     rows = merge.merge_stream(event_stream(t), f"{home}/history", f"{home}/checkpoint", ["user_id"], ["ts", "event_id"], job)
     return rows.select("user_id", "event_type", "props", "valid_from", "valid_to")
 
@@ -39,7 +46,7 @@ SELECT user_id, event_type, sha256(user_id || '||' || event_type) AS row_hash, T
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")
 def stream_upsert(t: Inputs):
     home = scratch_path(t.spark, "upsert")
-    job = merge.upsert_merge(["user_id"], ["user_id", "event_type"], lambda batch: f"2025-01-{batch + 1:02d} 00:00:00")
+    job = merge.upsert_merge(["user_id"], ["user_id", "event_type"], batch_time)
     rows = merge.merge_stream(event_stream(t), f"{home}/table", f"{home}/checkpoint", ["user_id"], ["ts", "event_id"], job)
     return rows.select("user_id", "event_type", "row_hash", "created_at")
 

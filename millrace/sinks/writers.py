@@ -90,10 +90,3 @@ def load_warehouse(
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV files with header, one per partition."""
     df.write.mode("overwrite").csv(path, header=True)
-
-
-def write_small_csv(df: DataFrame, path: str, most_rows: int = 100_000) -> None:
-    """One CSV file, for reports of a bounded size only."""
-    if df.limit(most_rows + 1).count() > most_rows:
-        raise ValueError(f"more than {most_rows} rows: use write_csv")
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)

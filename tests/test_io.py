@@ -151,10 +151,6 @@ def test_copy_tables(spark, tmp_path):
 def test_csv_out(spark, tmp_path):
     writers.write_csv(spark.range(5), f"{tmp_path}/a")
     assert readers.read_csv(spark, f"{tmp_path}/a").count() == 5
-    writers.write_small_csv(spark.range(5), f"{tmp_path}/b")
-    assert len([f for f in os.listdir(tmp_path / "b") if f.endswith(".csv")]) == 1
-    with pytest.raises(ValueError):
-        writers.write_small_csv(spark.range(5), f"{tmp_path}/c", most_rows=4)
 
 
 def test_run_log(spark, tmp_path):
