@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def occurrences(text: str | Column, term: str) -> Column:
     """How often a word (letters and digits only) stands in the whole text, in any case.
@@ -27,12 +29,13 @@ def keyword_scores(df: DataFrame, text: str, terms: Sequence[str]) -> DataFrame:
     """
     terms = list(dict.fromkeys(t.lower() for t in terms))
     counted = df.withColumns({f"_t{i}": occurrences(text, t) for i, t in enumerate(terms)})
-    seen = counted.agg(F.struct(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"_t{i}") > 0).alias(f"d{i}") for i in range(len(terms))]
-    )).scalar()  # one scan for all terms
+    # The texts are searched once; what was found is kept for the rarities and for the scores.
+    counted = cut_lineage(counted.where(F.greatest(F.lit(0), F.lit(0), *[F.col(f"_t{i}") for i in range(len(terms))]) > 0))
+    seen = counted.agg(*[F.count_if(F.col(f"_t{i}") > 0).alias(f"d{i}") for i in range(len(terms))]).first() if terms else None
+    total = df.count()
     score, matched = F.lit(0.0), F.lit(0)
     for i in range(len(terms)):
-        rarity = F.log((seen.getField("rows") + 1) / (seen.getField(f"d{i}") + 1)) + 1
+        rarity = F.log(F.lit((total + 1) / (seen[f"d{i}"] + 1))) + 1
         score = score + F.col(f"_t{i}") * rarity
         matched = matched + F.when(F.col(f"_t{i}") > 0, 1).otherwise(0)
     return (

@@ -96,7 +96,7 @@ def popularity(t: Tables) -> DataFrame:
     bids = t["bid"].groupBy("car_id").agg(F.count("bid_id").alias("bids"))
     cars = _with_model(t, left_lookup(t["car"], bids, {"car_id": "car_id"}, {"bids": "bids"}))
     grouped = cars.groupBy("brand", "car_name").agg(
-        F.count_distinct("car_id").alias("cars"), F.sum(F.coalesce("bids", F.lit(0))).alias("bids")
+        F.count("car_id").alias("cars"), F.sum(F.coalesce("bids", F.lit(0))).alias("bids")
     )
     return grouped.orderBy(F.desc("bids"), "brand", "car_name")
 

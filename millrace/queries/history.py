@@ -98,8 +98,9 @@ SELECT coalesce(a.l_partkey, b.l_partkey) AS l_partkey, coalesce(a.l_suppkey, b.
 FROM a FULL JOIN b ON a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey""")
 def snapshot_composite_key(t: Inputs):
     """The bridge of parts and suppliers, keyed by both."""
-    pairs = [t.lineitem.where(F.col("l_returnflag") != flag).select("l_partkey", "l_suppkey").distinct() for flag in "NA"]
     keys = ["l_partkey", "l_suppkey"]
+    grouped = t.lineitem.groupBy(*keys).agg(*[F.bool_or(F.col("l_returnflag") != flag).alias(flag) for flag in "NA"])
+    pairs = [grouped.where(flag).select(*keys) for flag in "NA"]
     merged = h.snapshot(h.snapshot(None, pairs[0], keys, RUN1), pairs[1], keys, RUN2)
     first = F.lit(RUN1).cast("timestamp_ntz")
     return merged.select(*keys, (F.col("valid_from") == first).alias("in_first"), F.col("valid_to").isNotNull().alias("closed"))
