@@ -57,33 +57,6 @@ def add_row_hash(df: DataFrame, columns: Sequence[str], name: str, tolerant: boo
     return df.withColumn(name, row_hash(names)) if names else df
 
 
-def prepare(
-    df: DataFrame,
-    copies: Mapping[str, str | Sequence[str]] | None = None,
-    types: Mapping[str, str] | None = None,
-    literals: Mapping[str, object] | None = None,
-    drops: Sequence[str] = (),
-    hash_columns: Sequence[str] = (),
-    hash_name: str | None = None,
-    lookup: DataFrame | None = None,
-    lookup_keys: Mapping[str, str] | None = None,
-    keep: Sequence[str] = (),
-    tolerant: bool = False,
-) -> DataFrame:
-    """One dimension step: copy, cast, literals, drop, hash, key lookup, pick, in this order."""
-    from .lookups import attach_keys
-
-    df = df.transform(copy_columns, copies or {}, tolerant)
-    df = df.transform(cast_columns, types or {}, tolerant)
-    df = df.transform(add_literals, literals or {})
-    df = df.transform(drop_columns, drops)
-    if hash_columns and hash_name:
-        df = df.transform(add_row_hash, hash_columns, hash_name, tolerant)
-    if lookup is not None and lookup_keys:
-        df = df.transform(attach_keys, lookup, lookup_keys, tolerant)
-    return df.transform(pick_columns, keep, tolerant) if keep else df
-
-
 def rename_select(df: DataFrame, names: Mapping[str, str | Column]) -> DataFrame:
     """Projection given as {new name: old name or expression}."""
     return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in names.items()])

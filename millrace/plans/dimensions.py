@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..operators.lookups import attach_keys, left_lookup
-from ..operators.shape import copy_columns, prepare, rename_select
+from ..operators.shape import add_row_hash, cast_columns, copy_columns, rename_select
 
 
 @dataclass(frozen=True)
@@ -23,10 +23,13 @@ class Dimension:
     types: Mapping[str, str] = field(default_factory=dict)
 
     def build(self, df: DataFrame) -> DataFrame:
-        return prepare(
-            df, copies=self.natural, types=self.types, hash_columns=self.hashed, hash_name=self.key,
-            keep=(self.key, *self.hashed),
-        )
+        typed = cast_columns(copy_columns(df, self.natural), self.types)
+        return hashed(typed, self.key, self.hashed)
+
+
+def hashed(df: DataFrame, key: str, columns: Sequence[str], *others: str) -> DataFrame:
+    """The hash key, other columns, and the columns the key is made of."""
+    return add_row_hash(df, columns, key).select(key, *others, *columns)
 
 
 # Key names, natural keys and hashed columns, which stored keys depend on.
@@ -88,19 +91,28 @@ INVESTMENT_DIMENSIONS = {
 }
 
 
+# Natural-key names, types and hashed columns of the two dimensions that look up others.
+INVESTMENT_NAMES = {
+    "investment_id": "investment_nk", "funding_round_id": "funding_round_nk",
+    "funded_object_id": "funded_object_nk", "investor_object_id": "investor_object_nk",
+}
+RELATIONSHIP_NAMES = {
+    "relationship_id": "relationship_nk",
+    "person_object_id": ["people_nk", "person_object_nk"],
+    "relationship_object_id": ["object_nk", "relationship_object_nk"],
+}
+RELATIONSHIP_TYPES = {"start_at": "timestamp_ntz", "end_at": "timestamp_ntz", "is_past": "boolean", "sequence": "int"}
+RELATIONSHIP_HASHED = (
+    "people_id", "company_id", "relationship_nk", "person_object_nk", "relationship_object_nk",
+    "start_at", "end_at", "is_past", "sequence", "title",
+)
+
+
 def investments_dimension(investments: DataFrame, funding_rounds: DataFrame) -> DataFrame:
     """Investments with the key of their funding round; the hash covers the natural keys only."""
-    hashed = ["investment_nk", "funding_round_nk", "funded_object_nk", "investor_object_nk"]
-    return prepare(
-        investments,
-        copies={
-            "investment_id": "investment_nk", "funding_round_id": "funding_round_nk",
-            "funded_object_id": "funded_object_nk", "investor_object_id": "investor_object_nk",
-        },
-        hash_columns=hashed, hash_name="investments_id",
-        lookup=funding_rounds, lookup_keys={"funding_round_nk": "funding_rounds_id"},
-        keep=["investments_id", "funding_rounds_id", *hashed],
-    )
+    keyed = hashed(copy_columns(investments, INVESTMENT_NAMES), "investments_id", list(INVESTMENT_NAMES.values()))
+    found = attach_keys(keyed, funding_rounds, {"funding_round_nk": "funding_rounds_id"})
+    return found.select("investments_id", "funding_rounds_id", *INVESTMENT_NAMES.values())
 
 
 def relationships_dimension(
@@ -111,22 +123,10 @@ def relationships_dimension(
     `company` has one row per office, so a company with several offices repeats the relation;
     `one_office=True` takes one key per company.
     """
-    hashed = [
-        "people_id", "company_id", "relationship_nk", "person_object_nk", "relationship_object_nk",
-        "start_at", "end_at", "is_past", "sequence", "title",
-    ]
-    named = prepare(
-        relationships,
-        copies={
-            "relationship_id": "relationship_nk",
-            "person_object_id": ["people_nk", "person_object_nk"],
-            "relationship_object_id": ["object_nk", "relationship_object_nk"],
-        },
-        types={"start_at": "timestamp_ntz", "end_at": "timestamp_ntz", "is_past": "boolean", "sequence": "int"},
-    )
+    named = cast_columns(copy_columns(relationships, RELATIONSHIP_NAMES), RELATIONSHIP_TYPES)
     with_person = attach_keys(named, people, {"people_nk": "people_id"})
     with_company = attach_keys(with_person, company, {"object_nk": "company_id"}, dedupe=one_office)
-    return prepare(with_company, hash_columns=hashed, hash_name="relationships_id", keep=["relationships_id", *hashed])
+    return hashed(with_company, "relationships_id", RELATIONSHIP_HASHED)
 
 
 def investment_dimensions(sources: Mapping[str, DataFrame], one_office: bool = False) -> dict[str, DataFrame]:

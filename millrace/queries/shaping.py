@@ -161,15 +161,12 @@ SELECT sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), coalesce(o_orderstatu
   TIMESTAMP '2025-01-01 00:00:00' AS created_at, TIMESTAMP '2025-01-01 00:00:00' AS updated_at
 FROM orders""")
 def prepared_columns(t: Inputs):
-    prepared = shape.prepare(
-        t.orders,
-        copies={"o_orderkey": "order_nk", "o_orderdate": ["event_date", "event_datetime"]},
-        types={"event_date": "date", "event_datetime": "timestamp_ntz"},
-        literals={"channel": "web"}, drops=["o_totalprice"],
-        hash_columns=["order_nk", "o_orderstatus", "event_date"], hash_name="order_id",
-        keep=["order_id", "order_nk", "event_date", "event_datetime", "channel", "o_orderstatus"],
-    )
-    return shape.stamp(prepared, "2025-01-01 00:00:00")
+    orders = shape.copy_columns(t.orders, {"o_orderkey": "order_nk", "o_orderdate": ["event_date", "event_datetime"]})
+    orders = shape.cast_columns(orders, {"event_date": "date", "event_datetime": "timestamp_ntz"})
+    orders = shape.drop_columns(shape.add_literals(orders, {"channel": "web"}), ["o_totalprice"])
+    orders = shape.add_row_hash(orders, ["order_nk", "o_orderstatus", "event_date"], "order_id")
+    kept = shape.pick_columns(orders, ["order_id", "order_nk", "event_date", "event_datetime", "channel", "o_orderstatus"])
+    return shape.stamp(kept, "2025-01-01 00:00:00")
 
 
 @query("split_wide", """

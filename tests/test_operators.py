@@ -23,11 +23,12 @@ RUNS = {R: dt.datetime.fromisoformat(R) for R in (R1, R2, R3)}
 # ---- shaping
 
 
-def test_prepare_keeps_the_order_of_steps(spark):
+def test_small_steps_chain(spark):
     df = spark.createDataFrame([(1, "5.5", "x")], "id int, amount string, gone string")
-    out = shape.prepare(
-        df, copies={"id": ["nk", "id2"]}, types={"amount": "decimal(9,2)"}, literals={"kind": "k"}, drops=["gone"],
-        hash_columns=["nk", "amount"], hash_name="key", keep=["key", "nk", "amount", "kind"],
+    out = (
+        df.transform(shape.copy_columns, {"id": ["nk", "id2"]}).transform(shape.cast_columns, {"amount": "decimal(9,2)"})
+        .transform(shape.add_literals, {"kind": "k"}).transform(shape.drop_columns, ["gone"])
+        .transform(shape.add_row_hash, ["nk", "amount"], "key").transform(shape.pick_columns, ["key", "nk", "amount", "kind"])
     )
     assert out.columns == ["key", "nk", "amount", "kind"] and str(out.first().amount) == "5.50"
 
