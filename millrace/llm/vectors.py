@@ -8,9 +8,9 @@ counted and joined up inside the task; no list of pairs leaves it.
 
 Which lists are probed. For a vector x of list a and another list c let h be the distance of x from
 the plane midway between both centres. If x and y of list c are at most r apart, the two distances
-from the plane add up to no more than r, so one of them is r / 2 or less: with `reach` = 0.5, where
-each vector probes the lists with h <= reach * r, no link is lost. The default reach, a third, asks that less than two
-thirds of the difference of two linked vectors lie in one given direction, and needs a quarter of the work.
+from the plane add up to no more than r, so one of them is r / 2 or less: with a `reach` of one half, where
+each vector probes the lists with h <= reach * r, no link is lost. A smaller reach probes fewer lists and loses
+pairs whose difference lies mostly in one direction; with many dimensions such pairs are rare.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from .base import components, query, table
 from .text import column
 
 LEAST = 0.9
-REACH = 1 / 3
+REACH = 0.5
 # Vectors that centres and codewords are fitted to. All vectors are indexed.
 SAMPLE = 20_000
 MOST_LISTS = 4096
@@ -96,14 +96,20 @@ class Quantiser:
         return np.split(lists, np.searchsorted(row, np.arange(1, len(points))))
 
 
-def _matrix(arrays: pa.Array, width: int) -> np.ndarray:
-    """The vectors in double precision, zeros behind shorter ones, scaled to length 1."""
+def _padded(arrays: pa.Array, width: int) -> np.ndarray:
+    """The vectors as rows, in their own precision, with zeros behind shorter ones."""
     if isinstance(arrays, pa.ChunkedArray):
         arrays = arrays.combine_chunks()
     length = np.diff(arrays.offsets.to_numpy())
-    flat = np.asarray(arrays.flatten(), dtype=np.float64)
-    out = np.zeros((len(length), width))
+    flat = np.asarray(arrays.flatten())
+    out = np.zeros((len(length), width), dtype=flat.dtype)
     out[np.arange(width)[None, :] < length[:, None]] = flat
+    return out
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """The rows in double precision, scaled to length 1."""
+    out = rows.astype(np.float64)
     out /= np.abs(out).max(axis=1, initial=1e-300)[:, None]  # no overflow of the squares
     return out / np.sqrt((out * out).sum(axis=1))[:, None]
 
@@ -132,7 +138,9 @@ def links(
     node of a component, though each is counted as a link.
     """
     id_type = vectors.schema[vec_id].dataType
-    v = vectors[embedding].cast("array<double>")
+    single = vectors.schema[embedding].dataType.elementType.simpleString() == "float"
+    v = vectors[embedding] if single else vectors[embedding].cast("array<double>")
+    kind = np.float32 if single else np.float64
     sound = vectors[vec_id].isNotNull() & F.coalesce(
         F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False)
     )
@@ -146,7 +154,7 @@ def links(
             F.col("id").alias(vec_id), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept")
         )
     width, radius = figures["width"], float(np.sqrt(max(0.0, 2 - 2 * least)))
-    sample = _matrix(distinct.orderBy("h1", "h2").limit(SAMPLE).select("v").toArrow().column("v"), width)
+    sample = _unit(_padded(distinct.orderBy("h1", "h2").limit(SAMPLE).select("v").toArrow().column("v"), width))
     wanted = int(min(MOST_LISTS, max(1, 4 * figures["n"] ** 0.5)))
     shared = rows.sparkSession.sparkContext.broadcast(Quantiser(sample, wanted))
     margin = reach * radius
@@ -157,7 +165,8 @@ def links(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points = _matrix(column(batch, "v"), width)
+            raw = _padded(column(batch, "v"), width)
+            points = _unit(raw)
             own = _nearest(points, coder.centres)
             codes, error = coder.codes(points - coder.centres[own])
             probes = []
@@ -165,7 +174,7 @@ def links(
                 probes += coder.probes(points[a : a + 1024], own[a : a + 1024], margin)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[column(batch, c) for c in ("h1", "h2", "rep", "n")], pa.array([p.tobytes() for p in points], pa.binary()),
+                    *[column(batch, c) for c in ("h1", "h2", "rep", "n")], pa.array([p.tobytes() for p in raw], pa.binary()),
                     pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error, pa.float64()),
                     pa.array(probes, pa.list_(pa.int32())),
                 ],
@@ -193,8 +202,7 @@ def links(
         coder, here = shared.value, key[0].as_py()
         right = right.rename_columns([c.removeprefix("of_") for c in right.column_names])
         nq, nl = left.num_rows, right.num_rows
-        matrix = [np.frombuffer(b"".join(t.column("x").to_pylist()), dtype=np.float64).reshape(t.num_rows, width) for t in (left, right)]
-        q, x = matrix
+        q, x = (_unit(np.frombuffer(b"".join(t.column("x").to_pylist()), dtype=kind).reshape(t.num_rows, width)) for t in (left, right))
         codes = np.frombuffer(b"".join(right.column("codes").to_pylist()), dtype=np.uint8).reshape(nl, -1)
         error = right.column("error").to_numpy() if nl else np.zeros(0)
         bound = (radius + error + 1e-5) ** 2
