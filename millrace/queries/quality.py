@@ -43,24 +43,51 @@ PART = {
     "p_type": ("string", "mode"), "p_size": ("int", "limits"), "p_retailprice": ("double", "limits"),
 }
 
+# Columns and types of the other tables; numbers and times have limits, text has a mode.
+OTHERS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double,"
+    " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def columns_of(text: str) -> dict[str, tuple[str, str]]:
+    pairs = [c.split() for c in text.split(",")]
+    return {name: (kind, "mode" if kind == "string" else "limits") for name, kind in pairs}
+
+
+PROFILED = {"customer": CUSTOMER, "orders": ORDERS, "part": PART, **{n: columns_of(c) for n, c in OTHERS.items()}}
+PROFILED["embeddings"] = columns_of("vec_id bigint, label int")  # vectors have neither limits nor a mode
+
 
 @query("profile_columns", profile_sql("customer", CUSTOMER))
 def profile_columns(t: Inputs):
     return profile_table(t.customer, "customer")
 
 
-@query("profile_all_tables", "\nUNION ALL ".join(profile_sql(n, c) for n, c in
-                                                (("customer", CUSTOMER), ("orders", ORDERS), ("part", PART))))
+@query("profile_all_tables", "\nUNION ALL ".join(profile_sql(n, c) for n, c in PROFILED.items()).replace(
+    "FROM embeddings", "FROM (SELECT vec_id, label FROM embeddings)"))
 def profile_all_tables(t: Inputs):
-    return profile_tables({"customer": t.customer, "orders": t.orders, "part": t.part})
+    return profile_tables({n: t[n].drop("embedding") for n in PROFILED})
 
 
 @query("value_sets", """
 SELECT 'event_type' AS column_name, event_type AS value, count(*) AS n FROM events GROUP BY 2
 UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY 2
-UNION ALL SELECT 'props', props, count(*) FROM events GROUP BY 2""")
+UNION ALL SELECT 'props', props, count(*) FROM events GROUP BY 2
+UNION ALL SELECT 'event_id', CAST(event_id AS VARCHAR), count(*) FROM events GROUP BY 2
+UNION ALL SELECT 'ts', CAST(ts AS VARCHAR), count(*) FROM events GROUP BY 2
+UNION ALL SELECT 'value', CAST(value AS VARCHAR), count(*) FROM events GROUP BY 2""")
 def value_sets(t: Inputs):
-    return value_frequencies(t.events.select("event_type", "user_id", "props"))
+    return value_frequencies(t.events)
 
 
 @query("illogical_values", r"""
