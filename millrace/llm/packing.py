@@ -10,6 +10,7 @@ plan says which ranks of each length go where; pieces are ranked per length on t
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ from .text import column
 
 WINDOW = 2048
 END_ID = 1
-# Words whose ids a task remembers at one time.
+# Words whose ids a task remembers; as many older ones are kept beside them.
 REMEMBERED = 300_000
 # Rows of one length that are ranked in one task.
 RANKED = 100_000
@@ -33,10 +34,21 @@ COMBINATIONS = 40_000
 STEPS = 400
 
 
+# A mark set between words that are tokenized together.
+_MARK = "\x01"
+_TOGETHER = 64
+# Signs behind something else than a letter or a digit, which may be one token with it.
+_RUN_OF_SIGNS = re.compile("[^a-zA-Z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][.,](?: |$)")
+# What keeps A-Z from being lower-cased early: special tokens in capitals, and accents that may join with the letter.
+_KEEP_CASE = re.compile("<\\||[\u0300-\u036f]")
+
+
 class WordIds:
-    """Token ids of texts for a tokenizer that drops white space and never joins words across it.
+    """Token ids of texts for a tokenizer that lower-cases, drops white space and never joins words across it.
 
-    Words between blanks and line ends are tokenized once each and remembered as bytes.
+    Words between blanks and line ends are tokenized once each and remembered as bytes, for as long as they
+    are among the words met lately. Commas and stops at the end of a word are words of their own here, since
+    the tokenizer parts letters and signs.
     """
 
     _loaded: dict[str, WordIds] = {}
@@ -46,7 +58,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.recent: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        (self.mark,) = self._ids([_MARK])
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -55,18 +69,45 @@ class WordIds:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
+    @staticmethod
+    def words(text: str) -> list[str]:
+        text = text.replace("\n", " ")
+        if not _KEEP_CASE.search(text):
+            text = text.encode().lower().decode()  # of bytes: A-Z only
+        if not _RUN_OF_SIGNS.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        groups = [words[a : a + _TOGETHER] for a in range(0, len(words), _TOGETHER)]
+        (mark,) = np.frombuffer(self.mark, dtype="<u4")
+        for group, raw in zip(groups, self._ids([f" {_MARK} ".join(g) for g in groups])):
+            cuts = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == mark).tolist()
+            if len(cuts) + 1 != len(group):  # a word has the mark in it
+                self.recent.update(zip(group, self._ids(group)))
+                continue
+            for word, a, b in zip(group, [-1, *cuts], [*cuts, len(raw) // 4]):
+                self.recent[word] = raw[4 * (a + 1) : 4 * b]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian 32 bits."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*words).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = list(set().union(*words) - {""})
+        words = [self.words(t) for t in texts]
+        if len(self.recent) > REMEMBERED:
+            self.recent, self.older = {"": b""}, self.recent
+        new = []
+        for word in set().union(*words).difference(self.recent):
+            known = self.older.get(word)
+            if known is None:
+                new.append(word)
+            else:
+                self.recent[word] = known
         for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
+            self._learn(new[at : at + 10_000])
+        get = self.recent.__getitem__
         return [b"".join(map(get, w)) for w in words]
 
 
