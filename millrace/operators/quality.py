@@ -74,10 +74,12 @@ def schema_checks(df: DataFrame, schema: T.StructType, limits: Mapping[str, int]
 
 
 def unique(df: DataFrame, *columns: str) -> TableCheck:
-    """Keys that occur more than once; rows without the key are left out."""
-    known = df.dropna(subset=list(columns))
-    repeated = known.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return TableCheck(f"unique:{','.join(columns)}", repeated)
+    """Keys that occur more than once; rows without the key are left out.
+
+    The grouping is that of `primary_key`, so that a report with both does it once.
+    """
+    grouped = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    return TableCheck(f"unique:{','.join(columns)}", grouped.where("n > 1").dropna(subset=list(columns)))
 
 
 def primary_key(df: DataFrame, *columns: str) -> TableCheck:

@@ -46,12 +46,15 @@ def investment_tables(
 def run_investment_warehouse(
     spark: SparkSession, sources: Mapping[str, DataFrame], staging: str, warehouse: str, log: RunLog, **options
 ) -> list[str]:
-    """Stage the sources, read them back, build, check, and replace the warehouse tables."""
+    """Stage the sources, read them back, build, write, check, and publish the warehouse tables."""
     log.run("staging", "load", "source", "all", lambda: stage_tables(sources, staging))
     staged = {n: spark.read.parquet(f"{staging}/{n}") for n in sources}
     tables = log.run("warehouse", "transform", "staging", "all", lambda: investment_tables(staged, **options))
-    checks = q.Suite().add("startup_event", tables["startup_event"], [q.not_null("startup_event_id")])
     facts = frozenset({"startup_event"})
+
+    def checks(written: Mapping[str, DataFrame]) -> q.Suite:
+        return q.Suite().add("startup_event", written["fct_startup_event"], [q.not_null("startup_event_id")])
+
     return log.run("warehouse", "load", "staging", "all", lambda: load_warehouse(tables, warehouse, facts, checks))
 
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.quality import Suite
-from ..sources.readers import require_rows
+from ..sources.readers import EmptyTable
 
 # Tables with these prefixes belong to the warehouse layer.
 WAREHOUSE_PREFIXES = ("dim_", "fct_", "bridge_")
 
 
 class CheckFailed(RuntimeError):
-    """The checks before a load did not pass; nothing was written."""
+    """The checks of a load did not pass; nothing was published."""
 
 
 def write_table(
@@ -57,11 +60,15 @@ def stage_tables(
 ) -> list[str]:
     """All tables to the staging layer; an empty table is an error.
 
-    A few tables are written at a time, so that small ones do not leave the cluster idle.
+    Rows are counted as they are written. A few tables are written at a time, so that small ones do
+    not leave the cluster idle.
     """
 
     def stage(name: str) -> None:
-        write_table(require_rows(tables[name], name), location, name, mode, **where)
+        seen = Observation()
+        write_table(tables[name].observe(seen, F.count(F.lit(1)).alias("rows")), location, name, mode, **where)
+        if not seen.get["rows"]:
+            raise EmptyTable(f"{name} holds no rows")
 
     with ThreadPoolExecutor(at_once) as pool:
         return [name for name, _ in zip(tables, pool.map(stage, tables))]
@@ -76,17 +83,47 @@ def warehouse_name(name: str, facts: frozenset[str] = frozenset()) -> str:
 
 def load_warehouse(
     tables: Mapping[str, DataFrame], location: str, facts: frozenset[str] = frozenset(),
-    checks: Suite | None = None, **where,
+    checks: Callable[[Mapping[str, DataFrame]], Suite] | None = None,
 ) -> list[str]:
-    """Replace the warehouse tables, all or none: nothing is written unless every check passes."""
-    if checks is not None and not checks.passed():
-        raise CheckFailed("the checks before the load did not pass")
+    """Replace the warehouse tables, all or none.
+
+    The tables are written below a new version of the folder, `checks` (a suite made from the
+    written tables, by their warehouse names) run on them, and only then one row is added to the
+    list of published versions. Readers (`published_table`) see the old tables until that row is
+    there, and go on seeing them if a table or a check fails. One load runs at a time.
+    """
     names = {warehouse_name(n, facts): df for n, df in tables.items()}
+    spark = next(iter(names.values())).sparkSession
+    version = uuid.uuid4().hex
+    home = f"{location}/versions/{version}"
     for name, df in names.items():
-        write_table(df, location, name, "overwrite", **where)
+        write_table(df, home, name, "errorifexists")
+    if checks is not None and not checks({n: spark.read.parquet(f"{home}/{n}") for n in names}).passed():
+        raise CheckFailed("the checks of the written tables did not pass; nothing was published")
+    number = max((r["number"] for r in _published(spark, location)), default=0) + 1
+    row = spark.createDataFrame([(number, version)], "number bigint, version string")
+    row.coalesce(1).write.mode("append").parquet(f"{location}/published")
     return list(names)
 
 
+def _published(spark: SparkSession, location: str) -> list:
+    """The published versions: one short row for each load."""
+    try:
+        return spark.read.schema("number bigint, version string").parquet(f"{location}/published").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def published_table(spark: SparkSession, location: str, name: str) -> DataFrame:
+    """A table of the version published last."""
+    versions = _published(spark, location)
+    if not versions:
+        raise ValueError(f"nothing is published in {location}")
+    return spark.read.parquet(f"{location}/versions/{max(versions)['version']}/{name}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV files with header, one per partition."""
     df.write.mode("overwrite").csv(path, header=True)

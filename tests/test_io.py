@@ -112,14 +112,25 @@ def test_staging_and_warehouse(spark, tmp_path):
         writers.stage_tables({"x": tables["region"].where("false")}, home)
     names = writers.load_warehouse(tables, f"{home}/dwh", frozenset({"orders"}))
     assert names == ["dim_region", "fct_orders"]
+    assert writers.published_table(spark, f"{home}/dwh", "dim_region").count() == 5
 
 
 def test_nothing_is_loaded_when_a_check_fails(spark, tmp_path):
     df = spark.createDataFrame([(None,)], "a int")
-    suite = q.Suite().add("t", df, [q.not_null("a")])
     with pytest.raises(writers.CheckFailed):
-        writers.load_warehouse({"t": df}, str(tmp_path), checks=suite)
-    assert not os.listdir(tmp_path)
+        writers.load_warehouse({"t": df}, str(tmp_path), checks=lambda w: q.Suite().add("t", w["dim_t"], [q.not_null("a")]))
+    with pytest.raises(ValueError):
+        writers.published_table(spark, str(tmp_path), "dim_t")
+
+
+def test_a_failed_load_leaves_the_old_tables(spark, tmp_path):
+    home = str(tmp_path)
+    writers.load_warehouse({"a": spark.range(3), "b": spark.range(3)}, home)
+    with pytest.raises(Exception):
+        writers.load_warehouse({"a": spark.range(9), "b": spark.range(9).selectExpr("raise_error('x') AS id")}, home)
+    assert [writers.published_table(spark, home, n).count() for n in ("dim_a", "dim_b")] == [3, 3]
+    writers.load_warehouse({"a": spark.range(4), "b": spark.range(5)}, home)
+    assert [writers.published_table(spark, home, n).count() for n in ("dim_a", "dim_b")] == [4, 5]
 
 
 def test_catalog_tables(spark):

@@ -7,6 +7,7 @@ from millrace.plans.warehouse import ORDER_MART, hash_tables, order_mart_checks,
 from millrace.queries import Inputs
 from millrace.queries.facts import event_sources, order_sources
 from millrace.sinks.runlog import RunLog, read_log
+from millrace.sinks.writers import published_table
 
 RUN1, RUN2 = "2025-01-01 00:00:00", "2025-02-01 00:00:00"
 
@@ -69,11 +70,11 @@ def test_investment_warehouse(spark, tmp_path):
         names = run_investment_warehouse(
             spark, sources, f"{tmp_path}/staging", f"{tmp_path}/dwh", log, run_time=RUN1, calendar=("1995-01-01", "1995-12-31"))
     assert "fct_startup_event" in names and "dim_company" in names and len(names) == 12
-    events = spark.read.parquet(f"{tmp_path}/dwh/fct_startup_event")
+    events = published_table(spark, f"{tmp_path}/dwh", "fct_startup_event")
     assert events.where("startup_event_id is null or event_type_id is null").isEmpty()
-    labels = spark.read.parquet(f"{tmp_path}/dwh/dim_event_type")
+    labels = published_table(spark, f"{tmp_path}/dwh", "dim_event_type")
     assert events.join(labels, "event_type_id", "left_anti").isEmpty() and labels.count() == 7
-    assert spark.read.parquet(f"{tmp_path}/dwh/dim_date").count() == 365
+    assert published_table(spark, f"{tmp_path}/dwh", "dim_date").count() == 365
 
 
 def test_hashes_of_several_tables(spark):
