@@ -88,32 +88,32 @@ class Shape:
     @staticmethod
     def classes(grade: int) -> int:
         """Classes of frequent tokens for sets of 2^grade tokens and more."""
-        return max(min(4, 1 << max(grade - 1, 0)), (1 << grade) // 32)
+        return max(min(4, 1 << max(grade - 1, 0)), (1 << grade) // 16)
 
-    def grades(self, n: int) -> range:
-        """The grades of size that n tokens and similar sets may have."""
+    def dealings(self, n: int) -> list[int]:
+        """The numbers of classes for the sizes that sets similar to one of n tokens may have."""
         low, high = -(-self.least * n // 100), 100 * n // self.least
-        return range(low.bit_length() - 1, high.bit_length())
+        return sorted({self.classes(g) for g in range(low.bit_length() - 1, high.bit_length())})
 
     def prefix(self, n: int) -> int:
-        return min(n, self.missing(n) + 1 + self.classes(self.grades(n)[-1]))
+        return min(n, self.missing(n) + 1 + self.dealings(n)[-1]) if n else 0
 
     def dense(self, n: int, frequent: int) -> bool:
         """Too many frequent tokens in the prefix for the rare ones to suffice."""
         return self.prefix(n) - frequent <= self.missing(n)
 
     def signatures(self, n: int, tokens: np.ndarray) -> np.ndarray:
-        """Combinations of two frequent tokens, for every grade of size."""
+        """Combinations of two frequent tokens, for every number of classes."""
         out = []
-        for grade in self.grades(n):
-            lot = mix(tokens) % _U(self.classes(grade))
+        for classes in self.dealings(n):
+            lot = mix(tokens) % _U(classes)
             order = np.lexsort((tokens, lot))
             t, lot = tokens[order], lot[order]
             first = np.concatenate([[0], np.flatnonzero(lot[1:] != lot[:-1]) + 1, [len(t)]])
             for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
                 if b - a > 1:
                     i, j = np.triu_indices(b - a, 1)
-                    out.append(mix(mix(t[a:b][i] + _U(grade)) + t[a:b][j]))
+                    out.append(mix(mix(t[a:b][i] + _U(classes)) + t[a:b][j]))
         return np.unique(np.concatenate(out)) if out else np.zeros(0, dtype=_U)
 
     def alike(self, common, a, b):
