@@ -155,7 +155,7 @@ def links(
         )
     width, radius = figures["width"], float(np.sqrt(max(0.0, 2 - 2 * least)))
     sample = _unit(_padded(distinct.orderBy("h1", "h2").limit(SAMPLE).select("v").toArrow().column("v"), width))
-    wanted = int(min(MOST_LISTS, max(1, 4 * figures["n"] ** 0.5)))
+    wanted = int(min(MOST_LISTS, max(1, figures["n"] ** 0.5)))
     shared = rows.sparkSession.sparkContext.broadcast(Quantiser(sample, wanted))
     margin = reach * radius
     rep_type = id_type.simpleString()
