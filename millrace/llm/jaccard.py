@@ -42,7 +42,7 @@ RARE = 48
 # First tokens by which dense sets meet.
 KEYS = 8
 # Sets in a block of dense sets, and their tokens.
-BLOCK_SETS, BLOCK_TOKENS = 256, 200_000
+BLOCK_SETS, BLOCK_TOKENS = 1024, 400_000
 # Rows in a block of a signature, where only numbers are compared.
 BLOCK_ROWS = 1024
 # Pairs compared in one unit of work.
@@ -236,6 +236,21 @@ def _open(dense: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return (dense[a] | dense[b]) & ~(met & dense[a] & dense[b])
 
 
+def _met(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether sets of the left and of the right have a key in common, through the incidence of the keys."""
+    _, place, count = np.unique(keys.ravel(), return_inverse=True, return_counts=True)
+    often = count[place] > 1
+    owner = np.repeat(np.arange(len(keys)), KEYS)[often]
+    _, place = np.unique(place[often], return_inverse=True)
+    out = np.zeros((len(left), len(right)), dtype=bool)
+    for a in range(0, int(place.max(initial=-1)) + 1, 1024):
+        here = (place >= a) & (place < a + 1024)
+        part = np.zeros((len(keys), 1024), dtype=np.float32)
+        part[owner[here], place[here] - a] = 1
+        out |= part[left] @ part[right].T > 0
+    return out
+
+
 def _blocks(rows: DataFrame, key: str, block, blocks) -> DataFrame:
     """Rows (with their `block`) for every unit of two blocks (`i` <= `j`) of their key."""
     rows = rows.withColumns({"block": block, "other": F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))})
@@ -275,20 +290,17 @@ def _signature_pairs(dense_rows: DataFrame, shape: Shape) -> DataFrame:
     def compare(key: tuple, rows_: pa.Table) -> pa.Table:
         _, i, j = (k.as_py() for k in key)
         sid, n, block, dense = (rows_.column(c).to_numpy() for c in ("sid", "n", "block", "dense"))
-        keys = _keys(rows_.column("keys").combine_chunks())
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out = []
-        for at in range(0, len(left), 64):
-            a, b = (x.ravel() for x in np.meshgrid(left[at : at + 64], right, indexing="ij"))
-            fits = 100 * np.minimum(n[a], n[b]) >= shape.least * np.maximum(n[a], n[b])
-            if i == j:
-                fits &= a < b
-            a, b = a[fits], b[fits]
-            fits = _open(dense, keys, a, b)
-            a, b = a[fits], b[fits]
-            sig = np.full(len(a), key[0].as_py(), dtype=np.int64)
-            out.append(_pair_rows(sid, n, a, b, sig, np.full(len(a), len(sid), dtype=np.int64)))
-        return pa.Table.from_batches(out)
+        keys = _keys(rows_.column("keys").combine_chunks())
+        open_ = (dense[left][:, None] | dense[right]) & ~((dense[left][:, None] & dense[right]) & _met(keys, left, right))
+        open_ &= 100 * n[left][:, None] >= shape.least * n[right]
+        open_ &= 100 * n[right] >= shape.least * n[left][:, None]
+        if i == j:
+            open_ &= left[:, None] < right
+        a, b = np.nonzero(open_)
+        a, b = left[a], right[b]
+        sig, df = np.full(len(a), key[0].as_py(), dtype=np.int64), np.full(len(a), len(sid), dtype=np.int64)
+        return pa.Table.from_batches([_pair_rows(sid, n, a, b, sig, df)])
 
     return pairs.unionByName(many.groupBy("sig", "i", "j").applyInArrow(compare, _PAIRS))
 
