@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..session import cut_lineage
 
 SEED = 10
 FOLDS = 10
@@ -59,8 +58,13 @@ def boosted(features: str = "scaled", label: str = "label", **settings) -> GBTCl
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """The rows of many passes: a checkpoint, which outlives any executor, cached on top."""
-    return cut_lineage(df).persist(StorageLevel.MEMORY_AND_DISK)
+    """The rows of many passes, cached. Cut the lineage of rows that are expensive to make again first."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fold_rows(rows: int, folds: int = FOLDS) -> int:
+    """Rows that a fold trains on."""
+    return max(1, rows * (folds - 1) // folds)
 
 
 def cross_validate(
@@ -68,7 +72,7 @@ def cross_validate(
 ) -> DataFrame:
     """model, accuracy, deviation over shuffled folds; one row per estimator.
 
-    The prepared rows are written once and cached while the folds are fitted.
+    The rows are cached while the folds are fitted.
     """
     rows = []
     kept = _kept(df)
@@ -92,7 +96,7 @@ def _fold_scores(df, estimator, params, folds, label, parallel):
 
 
 def eliminate_features(
-    df: DataFrame, names: Sequence[str], features: str = "features", label: str = "label", folds: int = 5, parallel: int = 8,
+    df: DataFrame, names: Sequence[str], features: str = "features", label: str = "label", folds: int = FOLDS, parallel: int = 8,
 ) -> DataFrame:
     """Recursive elimination: n_features, accuracy, dropped, chosen.
 
@@ -107,7 +111,7 @@ def eliminate_features(
         while left:
             stages = [
                 VectorSlicer(inputCol=features, outputCol="chosen", indices=left),
-                scaler("chosen", "chosen_scaled"), logistic("chosen_scaled", label, rows),
+                scaler("chosen", "chosen_scaled"), logistic("chosen_scaled", label, fold_rows(rows, folds)),
             ]
             job = Pipeline(stages=stages)
             accuracy = _fold_scores(kept, job, [{}], folds, label, parallel)[0][0]
@@ -124,7 +128,7 @@ def eliminate_features(
 
 
 def random_search(
-    df: DataFrame, estimator: Estimator, grid: Mapping[object, Sequence], tries: int, folds: int = 5,
+    df: DataFrame, estimator: Estimator, grid: Mapping[object, Sequence], tries: int, folds: int = FOLDS,
     label: str = "label", parallel: int = 8, seed: int = SEED,
 ) -> DataFrame:
     """settings, accuracy, deviation, best for a random sample of a parameter grid."""

@@ -37,7 +37,7 @@ def classify_cv(t: Inputs):
     """Ten-fold accuracy of a logistic regression and of boosted trees on standardised features."""
     rows = cut_lineage(prepared(t))
     return learn.cross_validate(rows, {
-        "logistic": Pipeline(stages=[learn.scaler(), learn.logistic(rows=rows.count())]),
+        "logistic": Pipeline(stages=[learn.scaler(), learn.logistic(rows=learn.fold_rows(rows.count()))]),
         "boosted": Pipeline(stages=[learn.scaler(), learn.boosted(maxIter=10, maxDepth=3)]),
     })
 
@@ -53,7 +53,7 @@ def feature_elimination(t: Inputs):
 def random_search(t: Inputs):
     model = learn.boosted("features")
     grid = {model.maxIter: [5, 10, 15], model.stepSize: [0.05, 0.1, 0.2], model.maxDepth: [2, 3, 4]}
-    return learn.random_search(prepared(t), model, grid, tries=3)
+    return learn.random_search(cut_lineage(prepared(t)), model, grid, tries=10)
 
 
 @query("encode_scale", """
