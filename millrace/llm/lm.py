@@ -3,21 +3,28 @@
 A text is its words and one end. Every word is spelled out in bits (a Huffman code of its bytes and
 a stop sign); each bit is predicted from several hashed contexts of the word so far, the predictions
 are mixed in the logistic domain with weights chosen by a gate, and the mixed prediction is refined
-by an adaptive table. The bits of a word depend on the word alone, so a word is scored once, however
-often it occurs, and documents add up the scores of their words.
+by an adaptive table. The bits of a word depend on the word alone, so a word is spelled once, however
+often it occurs.
+
+Words (and the end) are then predicted from the word before: the share of the training pairs that
+begin with that word, mixed with the score of the word alone. The weight of the latter falls with
+the count of the word before as a power law, fitted to the number of pairs that occur once. Pairs
+are counted exactly, by 64-bit fingerprints.
 
 How it is spread: documents are cut into blocks. A block lists its distinct words, which are
-shuffled by word to be counted and scored, and their figures go back to the block.
+shuffled by word to be counted and scored, and their figures go back to the block. Its distinct pairs
+go out in slices of the fingerprints, one row per block and slice, and their counts come back.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +41,7 @@ LEARNERS = 16
 STEP_WORDS = 4096
 
 STOP = 256  # the sign behind a word
+FALL = 0.3  # the weight of the word alone is a * (count of the word before) ** -FALL
 # Slots of each context: none, one, two and three signs before, the whole word so far.
 SLOTS = (1 << 12, 1 << 16, 1 << 17, 1 << 18, 1 << 19)
 INPUTS = len(SLOTS) + 1
@@ -331,19 +339,122 @@ def learn(words: DataFrame) -> Mixer:
     return model.freeze()
 
 
-_BLOCKS = """kind int, block bigint, id {id}, held_out boolean, n_bytes bigint, n_tokens bigint, places binary, times binary,
-place int, word binary, c bigint"""
+def fingerprint(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+# Fingerprints of the start and the end of a text; no word holds a blank.
+START, END = fingerprint(b" start"), fingerprint(b" end")
+
+
+class Pairs:
+    """The distinct pairs of neighbours in a block's texts, ordered by fingerprint.
+
+    `before` and `after` are places in the block's list of words; the place behind the last word
+    stands for the start as `before` and for the end as `after`.
+    """
+
+    def __init__(self, tokens: bytes, lengths: bytes, prints: bytes):
+        prints = np.frombuffer(prints, dtype=_U)
+        size = len(prints)
+        self.lengths = np.frombuffer(lengths, dtype=np.int32).astype(np.int64)  # with the end
+        self.first = np.cumsum(self.lengths) - self.lengths
+        self.tokens = np.full(int(self.lengths.sum()), size, dtype=np.int64)
+        inside = np.ones(len(self.tokens), dtype=bool)
+        inside[self.first + self.lengths - 1] = False
+        self.tokens[inside] = np.frombuffer(tokens, dtype=np.int32)
+        past = np.empty_like(self.tokens)
+        past[1:] = self.tokens[:-1]
+        past[self.first] = size
+        cells, self.of_token = np.unique(past * (size + 1) + self.tokens, return_inverse=True)
+        before, after = cells // (size + 1), cells % (size + 1)
+        left, right = np.append(prints, _U(START)), np.append(prints, _U(END))
+        keys = mix(mix(left)[before] * _U(0x9E3779B97F4A7C15) + right[after])
+        order = np.argsort(keys, kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        self.before, self.after, self.keys, self.of_token = before[order], after[order], keys[order], rank[self.of_token]
+
+    def trained(self, held: bytes) -> np.ndarray:
+        """How often each pair occurs in texts that are not held out."""
+        kept = np.repeat(np.frombuffer(held, dtype=np.uint8) == 0, self.lengths)
+        return np.bincount(self.of_token[kept], minlength=len(self.keys))
+
+    def slices(self, bits: int) -> np.ndarray:
+        """Where each slice (the leading bits of the fingerprint) begins, and the number of pairs."""
+        edges = np.arange(1 << bits, dtype=_U) << _U(64 - bits)
+        return np.append(np.searchsorted(self.keys, edges), len(self.keys))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Non-negative numbers in as few bytes as the largest one needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"u{len(raw) // n}" if n else "u1").astype(np.int64)
+
+
+def pair_counts(stored: DataFrame, bits: int) -> DataFrame:
+    """block, slice, totals (packed training counts of its pairs), once (of the whole slice, on one row)."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, tokens, lengths, prints, held = (c[row].as_py() for c in batch.columns)
+                pairs = Pairs(tokens, lengths, prints)
+                often, at = pairs.trained(held), pairs.slices(bits)
+                filled = np.flatnonzero(np.diff(at))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(filled), block), pa.int64()), pa.array(filled, pa.int64()),
+                        pa.array([pairs.keys[at[i] : at[i + 1]].tobytes() for i in filled], pa.binary()),
+                        pa.array([_packed(often[at[i] : at[i + 1]]) for i in filled], pa.binary()),
+                    ],
+                    names=["block", "slice", "keys", "often"],
+                )
+
+    def total(rows: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(k, dtype=_U) for k in rows.column("keys").to_pylist()]
+        often = [_unpacked(o, len(k)) for o, k in zip(rows.column("often").to_pylist(), keys)]
+        found, place = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(place, weights=np.concatenate(often), minlength=len(found)).astype(np.int64)
+        parts = np.split(sums[place], np.cumsum([len(k) for k in keys])[:-1])
+        once = np.zeros(len(keys), dtype=np.int64)
+        once[0] = (sums == 1).sum()
+        return pa.Table.from_arrays(
+            [rows.column("block"), rows.column("slice"), pa.array([_packed(p) for p in parts], pa.binary()), pa.array(once)],
+            names=["block", "slice", "totals", "once"],
+        )
+
+    sent = stored.where("kind = 2").select("block", "tokens", "lengths", "prints", "held").mapInArrow(
+        send, "block bigint, slice bigint, keys binary, often binary"
+    )
+    return sent.groupBy("slice").applyInArrow(total, "block bigint, slice bigint, totals binary, once bigint")
+
+
+def alone_factor(counts: np.ndarray, mass: np.ndarray, once: float) -> float:
+    """The factor by which as many pairs are foreseen as new as occur once; `mass` pairs begin with words of such a count."""
+    low, high = 0.0, float(counts.max(initial=1)) ** FALL
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if mass @ np.minimum(1, middle * counts**-FALL) < once else (low, middle)
+    return high
+
+
+_BLOCKS = """kind int, block bigint, id {id}, held_out boolean, n_bytes bigint, n_tokens bigint, tokens binary, lengths binary,
+prints binary, held binary, place int, word binary, c bigint"""
 
 
 def blocks(docs: DataFrame, modulus: int, held_out: int, doc_id: str, text: str) -> DataFrame:
-    """Rows of documents (which words of their block they have and how often) and rows of words (of a block)."""
+    """Rows of documents, rows of words (of a block), and one row with the texts of a block as places of words."""
     schema = _BLOCKS.format(id=docs.schema[doc_id].dataType.simpleString())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId(), 0
         fields = None
         vocabulary: dict[bytes, int] = {}
-        size, trained = 0, []
+        size, texts, flags = 0, [], []
 
         def rows(**columns) -> pa.RecordBatch:
             n = len(next(iter(columns.values())))
@@ -351,10 +462,9 @@ def blocks(docs: DataFrame, modulus: int, held_out: int, doc_id: str, text: str)
             columns["block"] = block
             return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in fields], schema=fields)
 
-        def words() -> Iterator[pa.RecordBatch]:
-            c = np.zeros(len(vocabulary))
-            for place, times in trained:
-                c += np.bincount(place, weights=times, minlength=len(c))
+        def finished() -> Iterator[pa.RecordBatch]:
+            kept = [t for t, out in zip(texts, flags) if not out]
+            c = np.bincount(np.concatenate(kept), minlength=len(vocabulary)) if kept else np.zeros(len(vocabulary), dtype=np.int64)
             listed = list(vocabulary)
             for a in range(0, len(listed), 50_000):
                 part = listed[a : a + 50_000]
@@ -363,45 +473,47 @@ def blocks(docs: DataFrame, modulus: int, held_out: int, doc_id: str, text: str)
                     kind=pa.array([1] * n, pa.int32()), place=pa.array(np.arange(a, a + n, dtype=np.int32)),
                     word=pa.array(part, pa.binary()), c=pa.array(c[a : a + n].astype(np.int64)),
                 )
+            prints = np.fromiter(map(fingerprint, listed), dtype=_U, count=len(listed))
+            lengths = np.fromiter(map(len, texts), dtype=np.int32, count=len(texts)) + np.int32(1)
+            yield rows(
+                kind=pa.array([2], pa.int32()), tokens=pa.array([np.concatenate(texts).tobytes()], pa.binary()),
+                lengths=pa.array([lengths.tobytes()], pa.binary()), prints=pa.array([prints.tobytes()], pa.binary()),
+                held=pa.array([np.array(flags, dtype=np.uint8).tobytes()], pa.binary()),
+            )
 
         for batch in batches:
             if fields is None:
                 id_type = batch.schema.field("id").type
-                kinds = [pa.int32(), pa.int64(), id_type, pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.int64()]
+                kinds = [
+                    pa.int32(), pa.int64(), id_type, pa.bool_(), pa.int64(), pa.int64(), *[pa.binary()] * 4,
+                    pa.int32(), pa.binary(), pa.int64(),
+                ]
                 fields = pa.schema([(f.split()[0], k) for f, k in zip(schema.split(","), kinds)])
-            places, times, tokens, lengths = [], [], [], []
+            tokens, lengths = [], []
             held, bodies, first = column(batch, "held").to_pylist(), column(batch, "body"), 0
-            joined: list[tuple[np.ndarray, np.ndarray]] = []
             for i, (out, body) in enumerate(zip(held, bodies)):
                 raw = (body.as_py() or "").encode()
-                found = Counter(raw.lower().split())  # bytes: A-Z only, and white space from tab to return, and blank
-                place = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in found), dtype=np.int32, count=len(found))
-                time = np.fromiter(found.values(), dtype=np.int32, count=len(found))
-                if not out:
-                    joined.append((place, time))
-                places.append(place.tobytes())
-                times.append(time.tobytes())
-                tokens.append(int(time.sum()) + 1)
+                found = raw.lower().split()  # bytes: A-Z only, and white space from tab to return, and blank
+                texts.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in found), dtype=np.int32, count=len(found)))
+                flags.append(out)
+                tokens.append(len(found) + 1)
                 lengths.append(len(raw))
                 size += len(raw)
                 if size > BLOCK_BYTES or i + 1 == len(held):
-                    if joined:
-                        trained.append((np.concatenate([p for p, _ in joined]), np.concatenate([t for _, t in joined])))
-                        joined = []
                     n = len(tokens)
                     yield rows(
                         kind=pa.array([0] * n, pa.int32()), id=column(batch, "id").slice(first, n), held_out=column(batch, "held").slice(first, n),
                         n_bytes=pa.array(lengths, pa.int64()), n_tokens=pa.array(tokens, pa.int64()),
-                        places=pa.array(places, pa.binary()), times=pa.array(times, pa.binary()),
+                        place=pa.array(np.arange(len(texts) - n, len(texts), dtype=np.int32)),
                     )
                     first += n
-                    places, times, tokens, lengths = [], [], [], []
+                    tokens, lengths = [], []
                 if size > BLOCK_BYTES:
-                    yield from words()
-                    vocabulary, trained, size = {}, [], 0
+                    yield from finished()
+                    vocabulary, texts, flags, size = {}, [], [], 0
                     serial += 1
-        if vocabulary:
-            yield from words()
+        if texts:
+            yield from finished()
 
     rows = docs.select(
         docs[doc_id].alias("id"), (remainder(docs[doc_id], modulus) == held_out).alias("held"), docs[text].cast("string").alias("body")
@@ -422,11 +534,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     blocks(docs, modulus, held_out, doc_id, text).write.option("compression", "zstd").parquet(path)
     stored = spark.read.parquet(path)
     listed = spark.read.parquet(path).where("kind = 1").select("word", "block", "place", "c")
-    per_doc = stored.where("kind = 0").select("block", "id", "held_out", "n_bytes", "n_tokens", "places", "times")
+    per_doc = stored.where("kind <> 1").select("kind", "block", "id", "held_out", "n_bytes", "n_tokens", "place", "tokens", "lengths", "prints")
 
     words = spark.read.parquet(_written(listed.groupBy("word").agg(F.sum("c").alias("c"))))
     figures = words.agg(F.sum("c").alias("n"), F.sum(F.expr("int(c > 0)")).alias("v")).first()
-    ends = per_doc.where("NOT held_out").count()
+    ends = stored.where("kind = 0 AND NOT held_out").count()
     n, v = (figures["n"] or 0) + ends, (figures["v"] or 0) + int(ends > 0)
     model = spark.sparkContext.broadcast(learn(words))
 
@@ -437,37 +549,54 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
 
     costs = words.select("word", "c").mapInArrow(scored, "word binary, c bigint, s double")
     replies = listed.drop("c").join(costs, "word").select("block", "place", "c", F.col("s").cast("float").alias("s"))
+    bits = max(4, (stored.where("kind = 2").count() - 1).bit_length())  # so many pairs a slice, whatever the input
+    pairs = spark.read.parquet(_written(pair_counts(stored, bits)))
+    once = pairs.agg(F.sum("once")).first()[0] or 0
+    seen = words.where("c > 0").groupBy(F.floor(F.log2("c") * 4)).agg(F.sum("c"), F.count("c")).collect()
+    mass, kinds = np.array([ends, *[r[1] for r in seen]], dtype=float), np.array([1, *[r[2] for r in seen]], dtype=float)
+    factor = alone_factor(np.maximum(mass / kinds, 1), mass, once)
     ending = (ends + 1.0) / (n + 2.0)  # of the end, at each token
     names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
 
-    def add_up(docs_: pa.Table, words_: pa.Table) -> pa.Table:
+    def add_up(docs_: pa.Table, replies_: pa.Table) -> pa.Table:
+        texts = docs_.filter(pc.equal(docs_.column("kind"), 2))
+        docs_ = docs_.filter(pc.equal(docs_.column("kind"), 0)).sort_by("place")
+        pairs_ = Pairs(*(texts.column(k)[0].as_py() for k in ("tokens", "lengths", "prints")))
+        slices_ = replies_.filter(pc.is_valid(replies_.column("slice")))
+        words_ = replies_.filter(pc.is_null(replies_.column("slice")))
         place = words_.column("place").to_numpy()
-        count, logs = np.zeros(len(place), dtype=np.int64), np.zeros(len(place))
-        count[place] = words_.column("c").to_numpy()
-        logs[place] = words_.column("s").to_numpy()
+        count, logs = np.zeros(len(place) + 1, dtype=np.int64), np.zeros(len(place) + 1)  # the end is the last one
+        count[place], count[-1] = words_.column("c").to_numpy(), ends
+        logs[place] = words_.column("s").to_numpy() + np.log10(1 - ending)
+        logs[-1] = np.log10(ending)
+        total, at = np.zeros(len(pairs_.keys)), pairs_.slices(bits)
+        for i, raw in zip(slices_.column("slice").to_pylist(), slices_.column("totals").to_pylist()):
+            total[at[i] : at[i + 1]] = _unpacked(raw, at[i + 1] - at[i])
         base = np.log10((count + 1) / (n + v + 1))
         known = (count > 0).astype(np.int64)
-        logs += np.log10(1 - ending)
-        out = {k: [] for k in ("known", "base", "score")}
-        for raw, often in zip(docs_.column("places").to_pylist(), docs_.column("times").to_pylist()):
-            at, times = np.frombuffer(raw, dtype=np.int32), np.frombuffer(often, dtype=np.int32).astype(np.int64)
-            out["known"].append(int(known[at] @ times) + int(ends > 0))
-            out["base"].append(float(base[at] @ times) + np.log10((ends + 1) / (n + v + 1)))
-            out["score"].append(float(logs[at] @ times) + np.log10(ending))
+        before = count[pairs_.before]  # as many texts start as end
+        alone = np.where(before > 0, np.clip(factor * np.maximum(before, 1.0) ** -FALL, 1e-6, 1), 1)
+        joint = np.log10(alone) + logs[pairs_.after]
+        share = (1 - alone) * total / np.maximum(before, 1)
+        mixed = np.where(share > 0, np.logaddexp(np.log(np.maximum(share, 1e-300)), joint * np.log(10)) / np.log(10), joint)
+        out = {k: np.add.reduceat(values, pairs_.first) for k, values in (
+            ("known", known[pairs_.tokens]), ("base", base[pairs_.tokens]), ("score", mixed[pairs_.of_token])
+        )}
         size = docs_.column("n_bytes").to_pylist()
-        bits = [-s / np.log10(2) / b if b else None for s, b in zip(out["score"], size)]
+        spent = [-float(s) / np.log10(2) / b if b else None for s, b in zip(out["score"], size)]
         return pa.Table.from_arrays(
             [
                 docs_.column("id"), docs_.column("held_out"), docs_.column("n_tokens"), pa.array(out["known"], pa.int64()),
                 pa.array([n] * len(size), pa.int64()), pa.array(out["base"], pa.float64()), pa.array(out["score"], pa.float64()),
-                pa.array(bits, pa.float64()),
+                pa.array(spent, pa.float64()),
             ],
             names=names,
         )
 
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
-    found = per_doc.groupBy("block").cogroup(replies.withColumnRenamed("block", "of_block").groupBy("of_block")).applyInArrow(add_up, schema)
+    replies = replies.unionByName(pairs.drop("once"), allowMissingColumns=True).withColumnRenamed("block", "of_block")
+    found = per_doc.groupBy("block").cogroup(replies.groupBy("of_block")).applyInArrow(add_up, schema)
     return found.withColumnRenamed("id", doc_id)
 
 
