@@ -4,7 +4,9 @@ A text is its words and one end. Every word is spelled out in bits (a Huffman co
 a stop sign); each bit is predicted from several hashed contexts of the word so far, the predictions
 are mixed in the logistic domain with weights chosen by a gate, and the mixed prediction is refined
 by an adaptive table. The bits of a word depend on the word alone, so a word is spelled once, however
-often it occurs.
+often it occurs. The counts behind the whole word so far are exact: words are sorted, so those that
+begin alike stand together, and only beginnings that cross an edge between two runs of words are
+summed up over runs. The shorter contexts have tables with room for all that occur.
 
 Words (and the end) are then predicted from the word before: the share of the training pairs that
 begin with that word, mixed with the score of the word alone. The weight of the latter falls with
@@ -35,16 +37,21 @@ from .text import column, mix
 
 # Bytes of text whose distinct words are gathered in one task.
 BLOCK_BYTES = 32 << 20
-# Tasks that sum up context counts or learn weights; each one has tables of fixed size.
+# Words (and bytes) of one run of the sorted words.
+RUN_WORDS = 1 << 15
+RUN_BYTES = 1 << 19
+# Tasks that sum up context counts or learn weights; each one has tables of the same size.
 LEARNERS = 16
 # Words worked on at once.
 STEP_WORDS = 4096
 
 STOP = 256  # the sign behind a word
 FALL = 0.3  # the weight of the word alone is a * (count of the word before) ** -FALL
-# Slots of each context: none, one, two and three signs before, the whole word so far.
-SLOTS = (1 << 12, 1 << 16, 1 << 17, 1 << 18, 1 << 19)
-INPUTS = len(SLOTS) + 1
+# Slots of each short context, at least: none, one, two and three signs before.
+SLOTS = (1 << 12, 1 << 16, 1 << 17, 1 << 18)
+ROOM = 4  # slots for each context that occurs
+REGISTERS = 12  # bits of a register's place when contexts are counted
+INPUTS = len(SLOTS) + 2  # also the whole word so far, and a constant
 GATES = 32
 BUCKETS = 33
 _U = np.uint64
@@ -84,17 +91,33 @@ def signs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, length
 
 
+_POWER, _NODE = _U(0xD6E8FEB86659FD93), _U(0x9E3779B97F4A7C15)
+
+
+def beginnings(signs: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A 64-bit fingerprint of the word before each sign."""
+    first = np.cumsum(length) - length
+    place = np.arange(len(signs)) - np.repeat(first, length)
+    with np.errstate(over="ignore"):
+        powers = mix(np.arange(int(length.max()), dtype=_U) * _POWER + _U(11)) | _U(1)
+        terms = mix((signs + 1).astype(_U)) * powers[place]
+        before = np.cumsum(terms) - terms
+        return mix(before - np.repeat(before[first], length) + place.astype(_U))
+
+
+def _paths(code: Code, signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of bits of each sign, and where the code lists each bit's node and turn."""
+    size = code.size[signs]
+    return size, np.repeat(code.start[signs] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 class Bits:
-    """The bits of some words: turn taken, word, and slot in the tables for each context."""
+    """The bits of some words: turn taken, word, and slot in the tables for each short context."""
 
-    def __init__(self, code: Code, words: list[bytes]):
+    def __init__(self, code: Code, words: list[bytes], slots: tuple[int, ...] = SLOTS):
         signs, length = signs_of(words)
         first = np.cumsum(length) - length
         place = np.arange(len(signs)) - np.repeat(first, length)
-        powers = mix(np.arange(int(length.max()), dtype=_U) + _U(11)) | _U(1)
-        terms = (signs + 1).astype(_U) * powers[place]
-        before = np.cumsum(terms) - terms
-        whole = mix(before - np.repeat(before[first], length) + place.astype(_U))
         back = [signs]
         for k in (1, 2, 3):
             past = np.full(len(signs), STOP, dtype=np.int64)
@@ -106,26 +129,61 @@ class Bits:
             back[1].astype(_U) + _U(1000),
             (back[1] * 257 + back[2]).astype(_U) + _U(100_000),
             ((back[1] * 257 + back[2]) * 257 + back[3]).astype(_U) + _U(10_000_000),
-            whole,
         ]
-        size = code.size[signs]
-        total = int(size.sum())
-        at = np.repeat(code.start[signs] - (np.cumsum(size) - size), size) + np.arange(total)
+        size, at = _paths(code, signs)
         self.node, self.turn = code.nodes[at], code.turns[at]
         self.word = np.repeat(np.repeat(np.arange(len(words)), length), size)
+        self.keys = [mix(np.repeat(mix(context), size) + self.node.astype(_U) * _NODE) for context in contexts]
         self.slots, base = [], 0
-        spread = self.node.astype(_U) * _U(0x9E3779B97F4A7C15)
-        for context, n in zip(contexts, SLOTS):
-            key = (np.repeat(mix(context), size) + spread) >> _U(65 - n.bit_length())
-            self.slots.append(key.view(np.int64) + base)
+        for key, n in zip(self.keys, slots):
+            self.slots.append((key >> _U(65 - n.bit_length())).view(np.int64) + base)
             base += n
 
 
+class Begun:
+    """How often the words that begin alike took each turn, for every bit of a run of sorted words.
+
+    `shared` has (beginning, sign, count) of beginnings that other runs have as well.
+    """
+
+    def __init__(self, code: Code, words: list[bytes], counts: np.ndarray, shared: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        signs, length = signs_of(words)
+        starts, sums, place = _summed(beginnings(signs, length), signs, np.repeat(counts, length))
+        heads, next_, often = shared
+        crossing = np.isin(starts[0], heads)
+        here = np.isin(heads, starts[0][crossing])
+        begin = np.concatenate([starts[0], heads[here]])
+        sign = np.concatenate([starts[1], next_[here]])
+        weight = np.concatenate([np.where(crossing, 0, sums), often[here]])
+        size, at = _paths(code, sign)
+        turn, weight = code.turns[at], np.repeat(weight, size)
+        _, cell = np.unique(mix(np.repeat(begin, size) + code.nodes[at].astype(_U) * _NODE), return_inverse=True)
+        no = np.bincount(cell, weights=weight * ~turn)[cell].astype(np.float32)
+        yes = np.bincount(cell, weights=weight * turn)[cell].astype(np.float32)
+        edge = np.cumsum(size) - size
+        size = size[place]
+        ends = np.append(0, np.cumsum(size))
+        at = np.repeat(edge[place] - ends[:-1], size) + np.arange(ends[-1])
+        self.no, self.yes = no[at], yes[at]
+        self.first = ends[np.append(0, np.cumsum(length))]
+
+    def of(self, first: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(no, yes) at the bits of `n` words."""
+        part = slice(self.first[first], self.first[first + n])
+        return self.no[part], self.yes[part]
+
+
+def _summed(begin: np.ndarray, signs: np.ndarray, weight: np.ndarray):
+    """Distinct (beginning, sign), the sum of each, and the place of every row in them."""
+    _, first, place = np.unique(mix(begin + signs.astype(_U) * _POWER), return_index=True, return_inverse=True)
+    return (begin[first], signs[first]), np.bincount(place, weights=weight), place
+
+
 class Mixer:
     """The trained model: counts of turns per slot, weights per gate, refinements."""
 
-    def __init__(self, code: Code, counts: np.ndarray):
-        self.code = code
+    def __init__(self, code: Code, counts: np.ndarray, slots: tuple[int, ...] = SLOTS):
+        self.code, self.slots = code, slots
         self.counts = counts  # float32, (turns, slots)
         self.weights = np.zeros((GATES, INPUTS))
         self.weights[:, 2:4] = 0.3
@@ -148,29 +206,30 @@ class Mixer:
         """Keep what scoring needs of the counts: the stretched prediction and the gate's part of every slot."""
         no, yes = self.counts
         self.stretched = self._stretch(no, yes).astype(np.float32)
-        seen, none = no + yes, np.zeros(len(no), dtype=np.float32)
-        whole = np.arange(len(no)) >= sum(SLOTS[:-1])
-        self.gates = np.where(whole, self._gate(none, seen), self._gate(seen, none))
+        three = (no + yes)[-self.slots[-1] :]
+        self.gates = self._gate(three, np.zeros_like(three))
         self.counts = None
         return self
 
-    def inputs(self, bits: Bits) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, bits: Bits, begun: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Stretched predictions (one row per context, then a constant) and the gate of every bit."""
         stretched = np.empty((INPUTS, len(bits.turn)), dtype=np.float32)
         stretched[-1] = 0.3
         for i, slot in enumerate(bits.slots):
             stretched[i] = self.stretched[slot]
-        return stretched, self.gates[bits.slots[3]] + self.gates[bits.slots[4]]
+        stretched[-2] = self._stretch(*begun)
+        whole = begun[0] + begun[1]
+        return stretched, self.gates[bits.slots[-1] - sum(self.slots[:-1])] + self._gate(np.zeros_like(whole), whole)
 
-    def inputs_without(self, bits: Bits) -> tuple[np.ndarray, np.ndarray]:
+    def inputs_without(self, bits: Bits, begun: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The same while learning: one occurrence of the word itself is taken out of the counts."""
         stretched = np.empty((INPUTS, len(bits.turn)), dtype=np.float32)
         stretched[-1] = 0.3
         seen = []
-        for i, slot in enumerate(bits.slots):
-            no, yes = np.maximum(self.counts[0][slot] - ~bits.turn, 0), np.maximum(self.counts[1][slot] - bits.turn, 0)
+        for i, (no, yes) in enumerate([*((self.counts[0][slot], self.counts[1][slot]) for slot in bits.slots), begun]):
+            no, yes = np.maximum(no - ~bits.turn, 0), np.maximum(yes - bits.turn, 0)
             stretched[i] = self._stretch(no, yes)
-            if i >= 3:
+            if i >= len(bits.slots) - 1:
                 seen.append(no + yes)
         return stretched, self._gate(*seen)
 
@@ -184,12 +243,16 @@ class Mixer:
     def _bucket(total: np.ndarray) -> np.ndarray:
         return np.clip(np.rint(total * 1.4) + BUCKETS // 2, 0, BUCKETS - 1).astype(np.int64)
 
-    def scores(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each word with its stop sign; `counts` is how often each was seen."""
+    def scores(self, words: list[bytes], counts: np.ndarray, begun: Begun | None = None) -> np.ndarray:
+        """log10 probability of each word with its stop sign; `counts` is how often each was seen.
+
+        Without `begun`, no word began like these.
+        """
         out = np.zeros(len(words))
         for at, part in _steps(words):
-            bits = Bits(self.code, part)
-            total = self.mixed(*self.inputs(bits))
+            bits = Bits(self.code, part, self.slots)
+            none = np.zeros(len(bits.turn), dtype=np.float32)
+            total = self.mixed(*self.inputs(bits, begun.of(at, len(part)) if begun else (none, none)))
             p = 1 / (1 + np.exp(-total))
             if self.refine is not None:
                 p = (p + self.refine[bits.node, self._bucket(total)]) / 2
@@ -231,11 +294,79 @@ def _steps(words: list[bytes], most: int = STEP_WORDS) -> Iterator[tuple[int, li
         at += n
 
 
-def _counted(batches: Iterator[pa.RecordBatch], most: int = STEP_WORDS) -> Iterator[tuple[list[bytes], np.ndarray]]:
+def _runs(batches: Iterator[pa.RecordBatch], trained: bool = True) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words and counts of each run; of the trained words only, if so wished."""
     for batch in batches:
-        words, n = column(batch, "word").to_pylist(), column(batch, "c").to_numpy()
-        for at, part in _steps(words, most):
-            yield part, n[at : at + len(part)].astype(float)
+        for words, n in zip(column(batch, "words"), column(batch, "counts")):
+            words, n = words.as_py(), np.array(n.as_py(), dtype=float)
+            if trained:
+                words, n = [w for w, c in zip(words, n) if c > 0], n[n > 0]
+            if words:
+                yield words, n
+
+
+def sorted_runs(words: DataFrame) -> DataFrame:
+    """run, words, counts: all words (word, c) in order, so many to a row."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, serial = TaskContext.get().partitionId(), 0
+        words, counts = [], []
+
+        def row() -> pa.RecordBatch:
+            name = pa.array([(task << 32) + serial], pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [name, pa.array([words], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64()))], names=["run", "words", "counts"]
+            )
+
+        size = 0
+        for batch in batches:
+            for word, c in zip(column(batch, "word").to_pylist(), column(batch, "c").to_pylist()):
+                if words and (len(words) >= RUN_WORDS or size + len(word) > RUN_BYTES):
+                    yield row()
+                    words, counts, size = [], [], 0
+                    serial += 1
+                words.append(word)
+                counts.append(c)
+                size += len(word)
+        if words:
+            yield row()
+
+    ordered = words.repartitionByRange("word").sortWithinPartitions("word").select("word", "c")
+    return ordered.mapInArrow(gather, "run bigint, words array<binary>, counts array<bigint>")
+
+
+def shared_beginnings(runs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(beginning, sign, count) of beginnings that words of several runs have.
+
+    Sorted words that begin alike are neighbours, so these are beginnings of a run's first or last word.
+    """
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, words, n in zip(*(column(batch, k).to_pylist() for k in ("run", "words", "counts"))):
+                signs, length = signs_of(words)
+                begin = beginnings(signs, length)
+                ends = np.concatenate([begin[: length[0]], begin[-length[-1] :]])
+                at = np.isin(begin, ends)
+                (begin, signs), sums, _ = _summed(begin[at], signs[at], np.repeat(np.array(n, dtype=float), length)[at])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(sums), name)), pa.array(begin.view(np.int64)), pa.array(signs), pa.array(sums)],
+                    names=["run", "begin", "sign", "n"],
+                )
+
+    rows = runs.mapInArrow(edges, "run bigint, begin bigint, sign bigint, n double")
+    several = rows.groupBy("begin").agg(F.min("run").alias("a"), F.max("run").alias("b")).where("a < b").select("begin")
+    found = rows.groupBy("begin", "sign").agg(F.sum("n").alias("n")).join(several, "begin").where("n > 0").toArrow()
+    begin, sign, n = (found.column(k).to_numpy() for k in ("begin", "sign", "n"))
+    return begin.astype(np.int64).view(_U), sign.astype(np.int64), n
+
+
+def _distinct(ranks: np.ndarray) -> float:
+    """The number of distinct keys (HyperLogLog) behind the largest rank of each register."""
+    m = len(ranks)
+    found = 0.7213 / (1 + 1.079 / m) * m * m / np.sum(2.0**-ranks)
+    none = int((ranks == 0).sum())
+    return float(m * np.log(m / none) if found < 2.5 * m and none else found)
 
 
 def _sum_rows(values: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -256,47 +387,74 @@ def _collected(rows: DataFrame, size: int, names: list[str]) -> np.ndarray:
     return out
 
 
-def learn(words: DataFrame) -> Mixer:
-    """The model of all training words (word, c: how often). All its tables have fixed sizes."""
-    spark = words.sparkSession
-    seen = words.where("c > 0").select("word", "c").coalesce(LEARNERS)
+def learn(runs: DataFrame, shared: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Mixer:
+    """The model of all training words, in sorted runs; `shared` are the beginnings of several runs."""
+    spark = runs.sparkSession
+    seen = runs.coalesce(LEARNERS)
 
     def letters(batches):
         total = np.zeros((1, STOP + 1))
-        for part, n in _counted(batches):
+        for part, n in _runs(batches):
             signs, length = signs_of(part)
             total[0] += np.bincount(signs, weights=np.repeat(n, length), minlength=STOP + 1)
         yield from _sum_rows(total, ["n"])
 
     code = Code(_collected(seen.mapInArrow(letters, "place bigint, n double"), STOP + 1, ["n"])[0])
     shared_code = spark.sparkContext.broadcast(code)
-    size = sum(SLOTS)
+
+    def ranks(batches):
+        best = np.zeros(len(SLOTS) << REGISTERS)
+        for words, _ in _runs(batches):
+            for _, part in _steps(words):
+                for i, key in enumerate(Bits(shared_code.value, part).keys):
+                    key = np.unique(mix(key))
+                    rest = (key & _U((1 << (64 - REGISTERS)) - 1)).astype(float)
+                    rank = 65 - REGISTERS - np.frexp(rest)[1]  # of the leading one; rounding up costs at most one
+                    np.maximum.at(best, (key >> _U(64 - REGISTERS)).view(np.int64) + (i << REGISTERS), rank)
+        yield from _sum_rows(best[None], ["n"])
+
+    best = np.zeros(len(SLOTS) << REGISTERS)
+    for place, n in seen.mapInArrow(ranks, "place bigint, n double").groupBy("place").agg(F.max("n")).collect():
+        best[place] = n
+    slots = tuple(max(least, 1 << int(np.ceil(np.log2(ROOM * _distinct(r) + 1)))) for least, r in zip(SLOTS, best.reshape(len(SLOTS), -1)))
+    size = sum(slots)
 
     def turns(batches):
         total = np.zeros((2, size))
-        for part, n in _counted(batches):
-            bits = Bits(shared_code.value, part)
-            weight = n[bits.word]
-            for turn in (0, 1):
-                hit = bits.turn == bool(turn)
-                for slot in bits.slots:
-                    np.add.at(total[turn], slot[hit], weight[hit])
+        for words, counts in _runs(batches):
+            for at, part in _steps(words):
+                bits = Bits(shared_code.value, part, slots)
+                weight = counts[at : at + len(part)][bits.word]
+                for turn in (0, 1):
+                    hit = bits.turn == bool(turn)
+                    for slot in bits.slots:
+                        np.add.at(total[turn], slot[hit], weight[hit])
         yield from _sum_rows(total, ["no", "yes"])
 
     counts = _collected(seen.mapInArrow(turns, "place bigint, no double, yes double"), size, ["no", "yes"]).astype(np.float32)
-    tokens = int(seen.agg(F.sum("c")).first()[0] or 0)
-    started = spark.sparkContext.broadcast(Mixer(code, counts))
+    tokens = int(runs.agg(F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)"))).first()[0] or 0)
+    started = spark.sparkContext.broadcast((Mixer(code, counts, slots), shared))
+
+    def mingled(batches, code, crossing):
+        """Words of a run in an order that has nothing to do with their spelling, 512 at a time."""
+        for words, n in _runs(batches):
+            begun = Begun(code, words, n, crossing)
+            order = np.argsort(mix(np.arange(len(words), dtype=_U) + _U(5)))
+            for at, part in _steps([words[i] for i in order], 512):
+                here = order[at : at + len(part)]
+                no, yes = zip(*(begun.of(i, 1) for i in here))
+                yield part, n[here], (np.concatenate(no), np.concatenate(yes))
 
     def weights(batches):
         """Online: each run of words is predicted, then the weights take a step, and the refinements count."""
-        model = started.value
-        model = Mixer(model.code, model.counts)
+        model, crossing = started.value
+        model = Mixer(model.code, model.counts, model.slots)
         power = np.full_like(model.weights, 1e-3)
         refine = np.zeros((2, (STOP + 1) * BUCKETS))
         total, mass, ratios = np.zeros(GATES * INPUTS), 0.0, np.zeros(RATIOS)
-        for part, n in _counted(batches, 512):
-            bits = Bits(model.code, part)
-            stretched, gate = model.inputs_without(bits)
+        for part, n, at_bits in mingled(batches, model.code, crossing):
+            bits = Bits(model.code, part, model.slots)
+            stretched, gate = model.inputs_without(bits, at_bits)
             mixed = model.mixed(stretched, gate)
             weight = n[bits.word]
             p = 1 / (1 + np.exp(-mixed))
@@ -328,7 +486,7 @@ def learn(words: DataFrame) -> Mixer:
             refine[:, place] = no, yes
         else:
             rest[-1 - place] = no
-    model = Mixer(code, counts)
+    model = Mixer(code, counts, slots)
     total, mass, ratios = rest[: GATES * INPUTS], rest[GATES * INPUTS], rest[GATES * INPUTS + 1 :]
     if mass:
         model.weights = (total / mass).reshape(GATES, INPUTS)
@@ -536,18 +694,23 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
     listed = spark.read.parquet(path).where("kind = 1").select("word", "block", "place", "c")
     per_doc = stored.where("kind <> 1").select("kind", "block", "id", "held_out", "n_bytes", "n_tokens", "place", "tokens", "lengths", "prints")
 
-    words = spark.read.parquet(_written(listed.groupBy("word").agg(F.sum("c").alias("c"))))
+    runs = spark.read.parquet(_written(sorted_runs(listed.groupBy("word").agg(F.sum("c").alias("c")))))
+    words = runs.select(F.explode("counts").alias("c"))
     figures = words.agg(F.sum("c").alias("n"), F.sum(F.expr("int(c > 0)")).alias("v")).first()
     ends = stored.where("kind = 0 AND NOT held_out").count()
     n, v = (figures["n"] or 0) + ends, (figures["v"] or 0) + int(ends > 0)
-    model = spark.sparkContext.broadcast(learn(words))
+    shared = shared_beginnings(runs)
+    model = spark.sparkContext.broadcast((learn(runs, shared), shared))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = model.value.scores(column(batch, "word").to_pylist(), column(batch, "c").to_numpy())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=["word", "c", "s"])
+        mixer, crossing = model.value
+        for found, n in _runs(batches, trained=False):
+            logs = mixer.scores(found, n, Begun(mixer.code, found, n, crossing))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.binary()), pa.array(n.astype(np.int64)), pa.array(logs)], names=["word", "c", "s"]
+            )
 
-    costs = words.select("word", "c").mapInArrow(scored, "word binary, c bigint, s double")
+    costs = runs.mapInArrow(scored, "word binary, c bigint, s double")
     replies = listed.drop("c").join(costs, "word").select("block", "place", "c", F.col("s").cast("float").alias("s"))
     bits = max(4, (stored.where("kind = 2").count() - 1).bit_length())  # so many pairs a slice, whatever the input
     pairs = spark.read.parquet(_written(pair_counts(stored, bits)))

@@ -46,3 +46,40 @@ def test_lm_pair_counts_are_exact(session, monkeypatch):
             seen[listed[r["block"]].get(a), listed[r["block"]].get(b)] = n
     assert {p: n for p, n in seen.items() if n} == dict(want)
     assert once == sum(n == 1 for n in want.values())
+
+
+def test_lm_counts_of_beginnings_are_exact(session, monkeypatch):
+    """Every bit knows how often the words that begin alike took each turn, also over the edges of runs."""
+    monkeypatch.setattr(lm, "RUN_WORDS", 7)
+    draw = np.random.default_rng(3)
+    words = {bytes(draw.choice(list(b"abc"), draw.integers(1, 7)).astype(np.uint8)): int(draw.integers(0, 5)) for _ in range(300)}
+    code = lm.Code(np.bincount(lm.signs_of(list(words))[0], minlength=257))
+    want = Counter()
+    for word, n in words.items():
+        bits = lm.Bits(code, [word])
+        sign = np.repeat(np.arange(len(word) + 1), code.size[lm.signs_of([word])[0]])
+        for i, node, turn in zip(sign, bits.node, bits.turn):
+            want[word[:i], node, turn] += n
+    table = session.createDataFrame([(bytearray(w), n) for w, n in words.items()], "word binary, c bigint")
+    runs = lm.sorted_runs(table)
+    shared = lm.shared_beginnings(runs)
+    seen = set()
+    for r in runs.collect():
+        part = [bytes(w) for w in r["words"]]
+        begun = lm.Begun(code, part, np.array(r["counts"], dtype=float), shared)
+        for at, word in enumerate(part):
+            bits, (no, yes) = lm.Bits(code, [word]), begun.of(at, 1)
+            sign = np.repeat(np.arange(len(word) + 1), code.size[lm.signs_of([word])[0]])
+            assert [(a, b) for a, b in zip(no, yes)] == [(want[word[:i], k, False], want[word[:i], k, True]) for i, k in zip(sign, bits.node)]
+            seen.add(word)
+    assert seen == set(words) and len(shared[0])
+
+
+def test_lm_tables_grow_with_the_contexts(session):
+    draw = np.random.default_rng(5)
+    words = sorted({bytes(draw.integers(33, 127, 8).astype(np.uint8)) for _ in range(30_000)})
+    table = session.createDataFrame([(bytearray(w), 1) for w in words], "word binary, c bigint")
+    runs = lm.sorted_runs(table).cache()
+    model = lm.learn(runs, lm.shared_beginnings(runs))
+    found = np.unique(np.concatenate([lm.Bits(model.code, words).keys[-1]]))
+    assert model.slots[-1] > 3 * len(found) > lm.SLOTS[-1]
