@@ -167,10 +167,11 @@ class Begun:
         self.no, self.yes = no[at], yes[at]
         self.first = ends[np.append(0, np.cumsum(length))]
 
-    def of(self, first: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(no, yes) at the bits of `n` words."""
-        part = slice(self.first[first], self.first[first + n])
-        return self.no[part], self.yes[part]
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(no, yes) at the bits of the words at these places."""
+        size = self.first[places + 1] - self.first[places]
+        at = np.repeat(self.first[places] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return self.no[at], self.yes[at]
 
 
 def _summed(begin: np.ndarray, signs: np.ndarray, weight: np.ndarray):
@@ -252,7 +253,7 @@ class Mixer:
         for at, part in _steps(words):
             bits = Bits(self.code, part, self.slots)
             none = np.zeros(len(bits.turn), dtype=np.float32)
-            total = self.mixed(*self.inputs(bits, begun.of(at, len(part)) if begun else (none, none)))
+            total = self.mixed(*self.inputs(bits, begun.of(np.arange(at, at + len(part))) if begun else (none, none)))
             p = 1 / (1 + np.exp(-total))
             if self.refine is not None:
                 p = (p + self.refine[bits.node, self._bucket(total)]) / 2
@@ -442,8 +443,7 @@ def learn(runs: DataFrame, shared: tuple[np.ndarray, np.ndarray, np.ndarray]) ->
             order = np.argsort(mix(np.arange(len(words), dtype=_U) + _U(5)))
             for at, part in _steps([words[i] for i in order], 512):
                 here = order[at : at + len(part)]
-                no, yes = zip(*(begun.of(i, 1) for i in here))
-                yield part, n[here], (np.concatenate(no), np.concatenate(yes))
+                yield part, n[here], begun.of(here)
 
     def weights(batches):
         """Online: each run of words is predicted, then the weights take a step, and the refinements count."""
@@ -505,8 +505,16 @@ def fingerprint(word: bytes) -> int:
 START, END = fingerprint(b" start"), fingerprint(b" end")
 
 
+class Places(dict):
+    """The place of each word in the order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 class Pairs:
-    """The distinct pairs of neighbours in a block's texts, ordered by fingerprint.
+    """Neighbours in a block's texts, with the start and the end of each.
 
     `before` and `after` are places in the block's list of words; the place behind the last word
     stands for the start as `before` and for the end as `after`.
@@ -514,34 +522,48 @@ class Pairs:
 
     def __init__(self, tokens: bytes, lengths: bytes, prints: bytes):
         prints = np.frombuffer(prints, dtype=_U)
-        size = len(prints)
         self.lengths = np.frombuffer(lengths, dtype=np.int32).astype(np.int64)  # with the end
         self.first = np.cumsum(self.lengths) - self.lengths
-        self.tokens = np.full(int(self.lengths.sum()), size, dtype=np.int64)
-        inside = np.ones(len(self.tokens), dtype=bool)
+        self.after = np.full(int(self.lengths.sum()), len(prints), dtype=np.int32)
+        inside = np.ones(len(self.after), dtype=bool)
         inside[self.first + self.lengths - 1] = False
-        self.tokens[inside] = np.frombuffer(tokens, dtype=np.int32)
-        past = np.empty_like(self.tokens)
-        past[1:] = self.tokens[:-1]
-        past[self.first] = size
-        cells, self.of_token = np.unique(past * (size + 1) + self.tokens, return_inverse=True)
-        before, after = cells // (size + 1), cells % (size + 1)
-        left, right = np.append(prints, _U(START)), np.append(prints, _U(END))
-        keys = mix(mix(left)[before] * _U(0x9E3779B97F4A7C15) + right[after])
-        order = np.argsort(keys, kind="stable")
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        self.before, self.after, self.keys, self.of_token = before[order], after[order], keys[order], rank[self.of_token]
-
-    def trained(self, held: bytes) -> np.ndarray:
-        """How often each pair occurs in texts that are not held out."""
-        kept = np.repeat(np.frombuffer(held, dtype=np.uint8) == 0, self.lengths)
-        return np.bincount(self.of_token[kept], minlength=len(self.keys))
-
-    def slices(self, bits: int) -> np.ndarray:
-        """Where each slice (the leading bits of the fingerprint) begins, and the number of pairs."""
-        edges = np.arange(1 << bits, dtype=_U) << _U(64 - bits)
-        return np.append(np.searchsorted(self.keys, edges), len(self.keys))
+        self.after[inside] = np.frombuffer(tokens, dtype=np.int32)
+        self.before = np.empty_like(self.after)
+        self.before[1:] = self.after[:-1]
+        self.before[self.first] = len(prints)
+        self.left, self.right = mix(np.append(prints, _U(START))) * _NODE, np.append(prints, _U(END))
+
+    def keys(self, part=slice(None)) -> np.ndarray:
+        """The fingerprint of each pair."""
+        keys = self.left[self.before[part]]
+        keys += self.right[self.after[part]]
+        return keys
+
+    def distinct(self) -> np.ndarray:
+        keys = self.keys()
+        keys.sort()
+        return keys[np.append(True, keys[1:] != keys[:-1])]
+
+    def trained(self, held: bytes, distinct: np.ndarray) -> np.ndarray:
+        """How often each distinct pair occurs in texts that are not held out."""
+        keys = self.keys(np.repeat(np.frombuffer(held, dtype=np.uint8) == 0, self.lengths))
+        keys.sort()
+        often = np.searchsorted(keys, distinct, "right")
+        often -= np.searchsorted(keys, distinct)
+        return often
+
+    def runs(self, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+        """Ranges of texts with about so many pairs (one longer text is a range of its own)."""
+        at = 0
+        while at < len(self.first):
+            end = max(at + 1, int(np.searchsorted(self.first, self.first[at] + most)))
+            yield at, end
+            at = end
+
+
+def slices(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where each slice (the leading bits) of sorted fingerprints begins, and their number."""
+    return np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=_U) << _U(64 - bits)), len(keys))
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -561,12 +583,14 @@ def pair_counts(stored: DataFrame, bits: int) -> DataFrame:
             for row in range(batch.num_rows):
                 block, tokens, lengths, prints, held = (c[row].as_py() for c in batch.columns)
                 pairs = Pairs(tokens, lengths, prints)
-                often, at = pairs.trained(held), pairs.slices(bits)
+                keys = pairs.distinct()
+                often, at = pairs.trained(held, keys), slices(keys, bits)
+                del pairs
                 filled = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(filled), block), pa.int64()), pa.array(filled, pa.int64()),
-                        pa.array([pairs.keys[at[i] : at[i + 1]].tobytes() for i in filled], pa.binary()),
+                        pa.array([keys[at[i] : at[i + 1]].tobytes() for i in filled], pa.binary()),
                         pa.array([_packed(often[at[i] : at[i + 1]]) for i in filled], pa.binary()),
                     ],
                     names=["block", "slice", "keys", "often"],
@@ -611,7 +635,7 @@ def blocks(docs: DataFrame, modulus: int, held_out: int, doc_id: str, text: str)
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId(), 0
         fields = None
-        vocabulary: dict[bytes, int] = {}
+        vocabulary = Places()
         size, texts, flags = 0, [], []
 
         def rows(**columns) -> pa.RecordBatch:
@@ -652,7 +676,7 @@ def blocks(docs: DataFrame, modulus: int, held_out: int, doc_id: str, text: str)
             for i, (out, body) in enumerate(zip(held, bodies)):
                 raw = (body.as_py() or "").encode()
                 found = raw.lower().split()  # bytes: A-Z only, and white space from tab to return, and blank
-                texts.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in found), dtype=np.int32, count=len(found)))
+                texts.append(np.fromiter(map(vocabulary.__getitem__, found), dtype=np.int32, count=len(found)))
                 flags.append(out)
                 tokens.append(len(found) + 1)
                 lengths.append(len(raw))
@@ -668,7 +692,7 @@ def blocks(docs: DataFrame, modulus: int, held_out: int, doc_id: str, text: str)
                     tokens, lengths = [], []
                 if size > BLOCK_BYTES:
                     yield from finished()
-                    vocabulary, texts, flags, size = {}, [], [], 0
+                    vocabulary, texts, flags, size = Places(), [], [], 0
                     serial += 1
         if texts:
             yield from finished()
@@ -732,19 +756,25 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus:
         count[place], count[-1] = words_.column("c").to_numpy(), ends
         logs[place] = words_.column("s").to_numpy() + np.log10(1 - ending)
         logs[-1] = np.log10(ending)
-        total, at = np.zeros(len(pairs_.keys)), pairs_.slices(bits)
+        keys = pairs_.distinct()
+        total, at = np.zeros(len(keys), dtype=np.int64), slices(keys, bits)
         for i, raw in zip(slices_.column("slice").to_pylist(), slices_.column("totals").to_pylist()):
             total[at[i] : at[i + 1]] = _unpacked(raw, at[i + 1] - at[i])
         base = np.log10((count + 1) / (n + v + 1))
         known = (count > 0).astype(np.int64)
-        before = count[pairs_.before]  # as many texts start as end
-        alone = np.where(before > 0, np.clip(factor * np.maximum(before, 1.0) ** -FALL, 1e-6, 1), 1)
-        joint = np.log10(alone) + logs[pairs_.after]
-        share = (1 - alone) * total / np.maximum(before, 1)
-        mixed = np.where(share > 0, np.logaddexp(np.log(np.maximum(share, 1e-300)), joint * np.log(10)) / np.log(10), joint)
-        out = {k: np.add.reduceat(values, pairs_.first) for k, values in (
-            ("known", known[pairs_.tokens]), ("base", base[pairs_.tokens]), ("score", mixed[pairs_.of_token])
-        )}
+        out = {k: [] for k in ("known", "base", "score")}
+        for a, b in pairs_.runs():
+            first = pairs_.first[a:b]
+            part = slice(first[0], first[-1] + pairs_.lengths[b - 1])
+            after = pairs_.after[part]
+            before = count[pairs_.before[part]]  # as many texts start as end
+            alone = np.where(before > 0, np.clip(factor * np.maximum(before, 1.0) ** -FALL, 1e-6, 1), 1)
+            joint = np.log10(alone) + logs[after]
+            share = (1 - alone) * total[np.searchsorted(keys, pairs_.keys(part))] / np.maximum(before, 1)
+            mixed = np.where(share > 0, np.logaddexp(np.log(np.maximum(share, 1e-300)), joint * np.log(10)) / np.log(10), joint)
+            for k, values in (("known", known[after]), ("base", base[after]), ("score", mixed)):
+                out[k].append(np.add.reduceat(values, first - first[0]))
+        out = {k: np.concatenate(v) for k, v in out.items()}
         size = docs_.column("n_bytes").to_pylist()
         spent = [-float(s) / np.log10(2) / b if b else None for s, b in zip(out["score"], size)]
         return pa.Table.from_arrays(
