@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -95,36 +96,96 @@ def _fold_scores(df, estimator, params, folds, label, parallel):
     return [float(m) for m in model.avgMetrics], [float(d) for d in model.stdMetrics]
 
 
+def _weights(model) -> list[float]:
+    """How much each feature counts in a fitted model."""
+    found = model.coefficients if hasattr(model, "coefficients") else model.featureImportances
+    return [abs(float(w)) for w in found.toArray()]
+
+
+def _eliminate(train: DataFrame, test: DataFrame | None, job, size: int, label: str) -> list[tuple[list[int], float, int]]:
+    """(features left, accuracy on `test`, the weakest of them), from all features down to one.
+
+    `job(features)` is the pipeline of these features; its last stage is the classifier.
+    """
+    scorer = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    left, steps = list(range(size)), []
+    while left:
+        model = job(left).fit(train)
+        weights = _weights(model.stages[-1])
+        weakest = left[min(range(len(left)), key=lambda i: (weights[i], i))]
+        steps.append((left, scorer.evaluate(model.transform(test)) if test is not None else 0.0, weakest))
+        left = [i for i in left if i != weakest]
+    return steps
+
+
+def _elimination(df: DataFrame, job, size: int, label: str, folds: int, parallel: int):
+    """The steps on all rows, the mean accuracy of each number of features, and the best number.
+
+    Every fold eliminates on its own training rows, so no row takes part in the choice it is measured on.
+    """
+    kept = _kept(df.withColumn("_fold", F.floor(F.rand(SEED) * folds)))
+
+    def fold(i):
+        test = kept.where(F.col("_fold") == i)
+        return [] if test.isEmpty() else [s[1] for s in _eliminate(kept.where(F.col("_fold") != i), test, job, size, label)]
+
+    try:
+        with ThreadPool(parallel) as pool:
+            scores = [s for s in pool.map(fold, range(folds)) if s]
+        steps = _eliminate(kept, None, job, size, label)
+    finally:
+        kept.unpersist()
+    accuracy = [sum(s[k] for s in scores) / len(scores) for k in range(size)]
+    best = max(range(size), key=lambda k: (accuracy[k], k))  # the later step has fewer features
+    return steps, accuracy, best
+
+
+class Elimination(Estimator):
+    """Recursive elimination as a stage: fitted on the rows it is given, it keeps the chosen entries of a vector.
+
+    `classifier` reads the column `output`; it ranks the features and is measured over `folds`.
+    """
+
+    def __init__(self, classifier: Estimator, source: str = "scaled", output: str = "chosen", label: str = "label", folds: int = FOLDS, parallel: int = 1):
+        super().__init__()
+        self.classifier, self.source, self.output = classifier, source, output
+        self.label, self.folds, self.parallel = label, folds, parallel
+
+    def _slicer(self, indices: list[int]) -> VectorSlicer:
+        return VectorSlicer(inputCol=self.source, outputCol=self.output, indices=indices)
+
+    def _fit(self, dataset: DataFrame) -> VectorSlicer:
+        rows = dataset.select(self.label, self.source)
+        size = rows.first()[self.source].size
+        steps, _, best = _elimination(
+            rows, lambda left: Pipeline(stages=[self._slicer(left), self.classifier]), size, self.label, self.folds, self.parallel
+        )
+        return self._slicer(steps[best][0])
+
+
 def eliminate_features(
     df: DataFrame, names: Sequence[str], features: str = "features", label: str = "label", folds: int = FOLDS, parallel: int = 8,
 ) -> DataFrame:
     """Recursive elimination: n_features, accuracy, dropped, chosen.
 
     The weakest coefficient on standardised data goes in each step; the number of features with the
-    best accuracy is chosen (the smaller number, if two are equal). `features` is a vector column
-    with the given names.
+    best accuracy is chosen (the smaller number, if two are equal). Every fold eliminates on its
+    training rows alone. `features` is a vector column with the given names.
     """
-    kept = _kept(df)
-    left, steps = list(range(len(names))), []
-    try:
-        rows = kept.count()
-        while left:
-            stages = [
-                VectorSlicer(inputCol=features, outputCol="chosen", indices=left),
-                scaler("chosen", "chosen_scaled"), logistic("chosen_scaled", label, fold_rows(rows, folds)),
-            ]
-            job = Pipeline(stages=stages)
-            accuracy = _fold_scores(kept, job, [{}], folds, label, parallel)[0][0]
-            weights = job.fit(kept).stages[-1].coefficients.toArray()
-            weakest = left[min(range(len(left)), key=lambda i: (abs(weights[i]), i))]
-            steps.append((len(left), accuracy, names[weakest], [names[i] for i in left]))
-            left = [i for i in left if i != weakest]
-    finally:
-        kept.unpersist()
-    best = max(steps, key=lambda s: (s[1], -s[0]))[0]
-    rows = [(n, a, d, kept_names, n == best) for n, a, d, kept_names in steps]
+    rows = df.count()
+
+    def job(left):
+        return Pipeline(stages=[
+            VectorSlicer(inputCol=features, outputCol="chosen", indices=left),
+            scaler("chosen", "chosen_scaled"), logistic("chosen_scaled", label, fold_rows(rows, folds)),
+        ])
+
+    steps, accuracy, best = _elimination(df, job, len(names), label, folds, parallel)
+    found = [
+        (len(left), accuracy[k], names[weakest], [names[i] for i in left], k == best) for k, (left, _, weakest) in enumerate(steps)
+    ]
     schema = "n_features int, accuracy double, dropped string, features array<string>, chosen boolean"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(found, schema)
 
 
 def random_search(
