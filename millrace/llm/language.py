@@ -205,7 +205,7 @@ def _fused(scored: DataFrame, languages: list[str], hosts: DataFrame, known: lis
 def _evidence(docs: DataFrame, text: str, declared: str | None, host: str | None) -> list:
     body = docs[text].cast("string")
     tag = declared_language(docs[declared]) if declared else F.lit(None).cast("string")
-    markup = F.when(F.instr(F.substring(body, 1, 1000), "<") > 0, F.regexp_extract(F.substring(body, 1, 1000), _MARKUP, 1))
+    markup = F.when(F.instr(body, "<") > 0, F.regexp_extract(body, _MARKUP, 1))
     tag = F.coalesce(F.lower(F.when(markup != "", markup)), tag)
     name = docs[host].cast("string") if host else F.lit("")
     return [body.alias("text"), tag.alias("declared"), name.alias("host"), suffix_of(name).alias("suffix")]
@@ -216,8 +216,8 @@ def identify(
 ) -> DataFrame:
     """One row per document: id, declared, text_language, language, posterior, accepted.
 
-    A declaration counts by its two-letter primary tag (an `html` element in the first 1,000
-    characters of a text outranks the column), anything else as none. Texts without a word (null and empty ones too) are
+    A declaration counts by its two-letter primary tag (an `html` element in the text
+    outranks the column), anything else as none. Texts without a word (null and empty ones too) are
     `und` with posterior 0 and are not accepted. Without any declared language all texts are `und`.
     Equal posteriors go to the language first in the alphabet. Rows with the same id are judged one by one.
     """

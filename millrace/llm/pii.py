@@ -129,7 +129,7 @@ def _describe(kind: str, text: str, a: int, b: int) -> tuple[str, str]:
     body, before, after = text[a:b], text[max(0, a - 24) : a], text[b : b + 1]
     n, digits = b - a, sum("0" <= c <= "9" for c in body)
     letters = sum(c.isalpha() for c in body)
-    turns = sum(x.isdigit() != y.isdigit() for x, y in zip(body, body[1:64]))
+    turns = sum(x.isdigit() != y.isdigit() for x, y in zip(body, body[1:]))
     shape = "+" if _SHAPES[kind].fullmatch(body) else "."
     gazetteer = "+" if _TELLING.search(before) else "-" if _INNOCENT.search(before) else "."
     context = "+" if before[-1:] in ("=", ":", '"', "'") or before[-2:] in (": ", "= ") else "."

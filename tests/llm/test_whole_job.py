@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from edge_cases import session  # noqa: F401
 
-from millrace.llm import lm
+from millrace.llm import language, lm, pii
 
 TEXTS = ["the cat sat on the mat", "the dog sat on the rug", "a cat and a dog", "", "the cat sat"] * 6
 
@@ -84,3 +84,17 @@ def test_lm_tables_grow_with_the_contexts(session):
     model = lm.learn(runs, lm.shared_beginnings(runs))
     found = np.unique(np.concatenate([lm.Bits(model.code, words).keys[-1]]))
     assert model.slots[-1] > 3 * len(found) > lm.SLOTS[-1]
+
+
+def test_html_element_anywhere_declares(session):
+    """An html element behind a long comment outranks the column."""
+    text = "<!-- " + "licence " * 400 + '--><html lang="fr"><body>un deux trois</body></html>'
+    docs = session.createDataFrame([(1, text, "de")], "doc_id long, text string, lang string")
+    row = docs.select(language._evidence(docs, "text", "lang", None)[1]).first()
+    assert row["declared"] == "fr"
+
+
+def test_turns_over_the_whole_candidate():
+    body = "a" * 70 + "1b2c3d4e5f6g7h8"
+    votes, features = pii._describe("secret", body, 0, len(body))
+    assert votes[3] == "+" and features.endswith("|4")
