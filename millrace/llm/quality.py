@@ -155,6 +155,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     spark = docs.sparkSession
     picked = spark.createDataFrame(chosen, known.schema) if chosen else known.limit(0)
     texts = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text")).join(F.broadcast(picked), "id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))  # of several texts with an id
+    texts = texts.groupBy("id", "label").agg(one.getField("text").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
                 yield pa.RecordBatch.from_arrays([column(batch, "id"), column(batch, "label"), pa.array(vectors, pa.binary())], names=["id", "label", "v"])
 
     id_type = known.schema["id"].dataType.simpleString()
-    found = texts.select("id", "label", "text").mapInArrow(work, f"id {id_type}, label int, v binary").limit(4 * per_label).collect()
+    found = texts.select("id", "label", "text").mapInArrow(work, f"id {id_type}, label int, v binary").collect()
     found.sort(key=lambda r: (r["id"], r["v"]))
     rows = np.frombuffer(b"".join(r["v"] for r in found), dtype=np.float32).reshape(-1, WIDTH)
     return Voters(rows, np.array([r["label"] for r in found], dtype=int), share)

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from edge_cases import session  # noqa: F401
 
-from millrace.llm import language, lm, pii
+from millrace.llm import language, lm, pii, quality
 
 TEXTS = ["the cat sat on the mat", "the dog sat on the rug", "a cat and a dog", "", "the cat sat"] * 6
 
@@ -98,3 +98,15 @@ def test_turns_over_the_whole_candidate():
     body = "a" * 70 + "1b2c3d4e5f6g7h8"
     votes, features = pii._describe("secret", body, 0, len(body))
     assert votes[3] == "+" and features.endswith("|4")
+
+
+def test_quality_learns_from_both_labels_with_repeated_ids(session):
+    """An id with many texts leaves room for the others, and the voters don't depend on the order of rows."""
+    texts = [(1, f"page {i} buy now") for i in range(60)] + [(i, f"a well written text number {i}") for i in range(2, 6)]
+    labels = session.createDataFrame([(1, 0), *[(i, 1) for i in range(2, 6)]], "doc_id long, quality int")
+    found = []
+    for rows in (texts, texts[::-1]):
+        docs = session.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        found.append(quality.fit(docs, labels, "doc_id", "text", "quality", 1 << 30, 4))
+    assert np.array_equal(found[0].label, found[1].label) and np.allclose(found[0].vectors, found[1].vectors)
+    assert set(found[0].label) == {0, 1} and len(found[0].label) == 5
