@@ -20,6 +20,14 @@ WORDS = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 COPIES = "E"
 
+# Let a join that shuffles filter its larger side by a Bloom filter of its smaller one. The filter has
+# 8 MB at most; if there are more hashes than it tells apart, more texts are shuffled, none is lost.
+BLOOM = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
+}
+
 
 def failures(text: Column) -> dict[str, Column]:
     """The conditions on a text alone, by the letters of their filters; `text` is never null."""
@@ -37,14 +45,14 @@ def failures(text: Column) -> dict[str, Column]:
 def copies(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """id, part and hash of every row of `docs` whose text some smaller id has as well.
 
-    docs: id, part, hash, text; repeated: the hashes that occur more than once. Only texts with such
-    a hash are compared. Of equal texts the smallest id stands for all that may be smaller, so a
-    group of any size meets one row.
+    docs: id, part, hash, text; repeated: hash, n (its rows, more than 1) and the smallest id of each
+    hash that occurs again. Of equal texts the smallest id stands for all that may be smaller, so a
+    group of any size meets one row. Only texts with such a hash are moved and compared.
     """
-    rows = docs.join(repeated, "hash", "left_semi")
-    first = rows.where("id IS NOT NULL").groupBy("hash", "text").agg(F.min("id").alias("first"))
-    same = (rows["hash"] == first["hash"]) & (rows["text"] == first["text"]) & (first["first"] < rows["id"])
-    return rows.join(first, same, "left_semi").select("id", "part", "hash")
+    rows = docs.join(repeated.where("n > 1").drop("n"), "hash").where("id >= first")
+    first = rows.where("id = first").alias("a")
+    later = rows.where("id > first").alias("b")
+    return later.join(first, F.expr("a.hash = b.hash AND a.text = b.text AND a.id < b.id"), "left_semi").select("id", "part", "hash")
 
 
 def combinations(
@@ -66,9 +74,12 @@ def combinations(
     conditions = rules(F.col("text"))
     bits = sum((F.when(c, 1 << i).otherwise(0) for i, c in enumerate(conditions.values())), F.lit(0))
     marked = cut_lineage(rows.select("id", "part", "hash", bits.alias("bits")))
-    # Written, so that Spark knows the size: a short list is broadcast, a long one shuffled.
+    # Written, so that Spark knows the size: a short list is broadcast, for a long one both sides are
+    # shuffled, the texts behind a Bloom filter of the list.
+    for key, value in BLOOM.items():
+        spark.conf.set(key, value)
     path = scratch_path(spark, "hashes")
-    marked.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash").write.parquet(path)
+    marked.groupBy("hash").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").write.parquet(path)
     found = copies(rows, spark.read.parquet(path))
     # Rows alike in id, part and hash fail alike.
     keys = ["id", "part", "hash"]
