@@ -58,7 +58,8 @@ def linear_fits(df: DataFrame, series: Sequence[str], features: Sequence[str], v
         out = np.full(len(whole), None, dtype=object)
         if sound.any():
             found = np.linalg.solve(whole[sound] + 1e-8 * np.eye(size), target[sound])
-            out[sound] = [list(v) for v in found[:, :, 0]]
+            for row, weights in zip(np.flatnonzero(sound), found[:, :, 0]):
+                out[row] = weights.tolist()
         return pd.Series(out)
 
     usable = df.dropna(subset=list(features))

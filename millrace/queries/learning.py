@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import learn
+from ..operators import learn, many
 from ..operators.embed import hashed_text_vectors
 from ..session import cut_lineage
 from .base import Inputs, query
@@ -40,12 +40,7 @@ def chosen(model, ranks):
 @query("classify_cv")
 def classify_cv(t: Inputs):
     """Ten-fold accuracy of a logistic regression and of boosted trees, each on the features it chose in the fold."""
-    rows = cut_lineage(prepared(t))
-    n = learn.fold_rows(rows.count())
-    return learn.cross_validate(rows, {
-        "logistic": chosen(learn.logistic("chosen", rows=n), learn.logistic("chosen", rows=learn.fold_rows(n))),
-        "boosted": chosen(learn.boosted("chosen", maxIter=100, maxDepth=3), learn.boosted("chosen", maxIter=100, maxDepth=3)),
-    })
+    return many.cross_validate(cut_lineage(prepared(t)))
 
 
 @query("feature_elimination")
