@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import prefs
 from ..session import scratch_path
-from ..streaming import gate, ingest, merge
+from ..streaming import gate, ingest, store
 from ..streaming.prefs import prefs_stream
 from .base import Inputs, query
 from .vectors import PREFS
@@ -30,25 +30,52 @@ def batch_time(batch: int) -> str:
     return f"{date(2025, 1, 1) + timedelta(days=batch)} 00:00:00"
 
 
-@query("stream_merge", """
-SELECT user_id, event_type, props, TIMESTAMP '2025-01-01 00:00:00' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")
-def stream_merge(t: Inputs):
-    """The latest event of each user kept as a history."""
-    home = scratch_path(t.spark, "merge")
-    job = merge.history_merge(["user_id"], ["event_type", "props"], batch_time)
-    rows = merge.merge_stream(event_stream(t), f"{home}/history", f"{home}/checkpoint", ["user_id"], ["ts", "event_id"], job)
-    return rows.select("user_id", "event_type", "props", "valid_from", "valid_to")
+def slices(t: Inputs, home: str):
+    """The events as they arrive: quarters of the month, one after another. Yields a stream after each."""
+    quarter = F.floor((F.dayofmonth("ts") - 1) / 8)
+    for i in range(4):
+        t.events.where(quarter == i).write.parquet(f"{home}/in/slice{i}")
+        yield ingest.file_stream(t.spark, f"{home}/in/*/*.parquet", t.events.schema)
+
 
+# The last event of each user in each quarter of the month that has events; quarters are batches.
+ARRIVED = """arrived AS (
+  SELECT *, dense_rank() OVER (ORDER BY (day(ts) - 1) // 8) - 1 AS batch FROM events),
+given AS (
+  SELECT *, TIMESTAMP '2025-01-01 00:00:00' + INTERVAL 1 DAY * batch AS run FROM arrived
+  QUALIFY row_number() OVER (PARTITION BY user_id, batch ORDER BY ts DESC, event_id DESC) = 1)"""
 
-@query("stream_upsert", """
-SELECT user_id, event_type, sha256(user_id || '||' || event_type) AS row_hash, TIMESTAMP '2025-01-01 00:00:00' AS created_at FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")
+
+@query("stream_merge", f"""
+WITH {ARRIVED},
+versions AS (
+  SELECT * FROM given WINDOW w AS (PARTITION BY user_id ORDER BY batch)
+  QUALIFY coalesce(lag(event_type) OVER w <> event_type OR lag(props) OVER w <> props, true))
+SELECT user_id, event_type, props, run AS valid_from, lead(run) OVER (PARTITION BY user_id ORDER BY batch) AS valid_to FROM versions""")
+def stream_merge(t: Inputs):
+    """The latest event of each user kept as a history, over four batches and a compaction between them."""
+    home = scratch_path(t.spark, "merge")
+    table = store.Store(f"{home}/history", ("user_id",), ("event_type", "props"))
+    for stream in slices(t, home):
+        store.merge_into(stream, table, f"{home}/checkpoint", ["ts", "event_id"], batch_time, every=2)
+    return store.read(t.spark, table).select("user_id", "event_type", "props", "valid_from", "valid_to")
+
+
+@query("stream_upsert", f"""
+WITH {ARRIVED},
+hashed AS (
+  SELECT user_id, event_type, batch, run, sha256(user_id || '||' || event_type) AS row_hash FROM given),
+marked AS (
+  SELECT *, coalesce(lag(row_hash) OVER w <> row_hash, true) AS new FROM hashed WINDOW w AS (PARTITION BY user_id ORDER BY batch))
+SELECT user_id, event_type, row_hash, min(run) OVER k AS created_at, max(run) FILTER (new) OVER k AS updated_at FROM marked
+WINDOW k AS (PARTITION BY user_id) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY batch DESC) = 1""")
 def stream_upsert(t: Inputs):
+    """The latest event of each user, over four batches and a compaction between them."""
     home = scratch_path(t.spark, "upsert")
-    job = merge.upsert_merge(["user_id"], ["user_id", "event_type"], batch_time)
-    rows = merge.merge_stream(event_stream(t), f"{home}/table", f"{home}/checkpoint", ["user_id"], ["ts", "event_id"], job)
-    return rows.select("user_id", "event_type", "row_hash", "created_at")
+    table = store.Store(f"{home}/table", ("user_id",), ("user_id", "event_type"), history=False)
+    for stream in slices(t, home):
+        store.merge_into(stream, table, f"{home}/checkpoint", ["ts", "event_id"], batch_time, every=2)
+    return store.read(t.spark, table).select("user_id", "event_type", "row_hash", "created_at", "updated_at")
 
 
 @query("stream_prefs", f"WITH RECURSIVE {PREFS} SELECT user_id, item_id, round(q, 9) AS q FROM learned")
