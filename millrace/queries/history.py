@@ -6,10 +6,12 @@ BUILDING segment and drops the MACHINERY segment.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact
 from ..operators import history as h
+from ..operators.asof import as_of_join
 from ..operators.shape import add_row_hash
 from .base import Inputs, query
 
@@ -139,3 +141,40 @@ def order_snapshot(t: Inputs):
     v2 = v1.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "O", "F").otherwise(F.col("o_orderstatus")))
     merged = h.snapshot(h.snapshot(None, v1, ["o_orderkey"], RUN1), v2, ["o_orderkey"], RUN2)
     return merged.drop("updated_at", "scd_id")
+
+
+TIERS = """
+yearly AS (SELECT o_custkey, year(o_orderdate) AS y, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS spent FROM orders GROUP BY ALL),
+tiers AS (SELECT o_custkey, make_timestamp(y + 1, 1, 1, 0, 0, 0) AS valid_from, CASE WHEN spent >= 500000 THEN 'gold' WHEN spent >= 200000 THEN 'silver' ELSE 'plain' END AS tier FROM yearly),
+kept AS (SELECT * FROM tiers WINDOW w AS (PARTITION BY o_custkey ORDER BY valid_from) QUALIFY coalesce(lag(tier) OVER w <> tier, true)),
+history AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to FROM kept)"""
+
+
+def customer_tiers(t: Inputs):
+    """A history of customers: the tier that a year's spending gives from the next year on."""
+    yearly = t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.sum(exact("o_totalprice")).alias("spent"))
+    tier = F.when(F.col("spent") >= 500000, "gold").when(F.col("spent") >= 200000, "silver").otherwise("plain")
+    start = F.make_timestamp_ntz(F.col("y") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    tiers = yearly.select("o_custkey", start.alias("valid_from"), tier.alias("tier"))
+    w = Window.partitionBy("o_custkey").orderBy("valid_from")
+    kept = tiers.withColumn("_before", F.lag("tier").over(w)).where(~F.col("_before").eqNullSafe(F.col("tier"))).drop("_before")
+    return kept.withColumn("valid_to", F.lead("valid_from").over(w))
+
+
+@query("orders_as_of", f"""
+WITH {TIERS}
+SELECT o_orderkey, o_orderdate, tier, valid_from FROM orders LEFT JOIN history h
+  ON h.o_custkey = orders.o_custkey AND h.valid_from <= o_orderdate AND (h.valid_to IS NULL OR o_orderdate < h.valid_to)""")
+def orders_as_of(t: Inputs):
+    """Every order with its customer's tier on the order date."""
+    found = as_of_join(t.orders, customer_tiers(t), ["o_custkey"], "o_orderdate", "valid_from", ["tier", "valid_from"], "valid_to")
+    return found.select("o_orderkey", "o_orderdate", "tier", "valid_from")
+
+
+@query("view_before_event", """
+SELECT e.event_id, max(v.ts) AS viewed_at FROM events e LEFT JOIN events v
+  ON v.user_id = e.user_id AND v.event_type = 'view' AND v.ts < e.ts GROUP BY 1""")
+def view_before_event(t: Inputs):
+    """Every event with the time of its user's last view before it."""
+    views = t.events.where("event_type = 'view'").select("user_id", F.col("ts").alias("viewed_at"))
+    return as_of_join(t.events, views, ["user_id"], "ts", "viewed_at", ["viewed_at"], before=True).select("event_id", "viewed_at")
