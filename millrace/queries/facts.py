@@ -107,11 +107,17 @@ def order_lifecycle(t: Inputs):
 
 
 @query("order_lifecycle_same_row", """
-SELECT user_id, CAST(max(ts) FILTER (event_type = 'purchase') AS DATE) AS delivered_date,
-  strftime(max(ts) FILTER (event_type = 'purchase'), '%H:%M:%S') AS delivered_time FROM events GROUP BY 1""")
+WITH m AS (SELECT user_id, max(ts) FILTER (event_type = 'signup') AS r, max(ts) FILTER (event_type = 'view') AS p, max(ts) FILTER (event_type = 'click') AS i,
+  max(ts) FILTER (event_type = 'purchase') AS d, max(ts) FILTER (event_type = 'error') AS c FROM events GROUP BY 1)
+SELECT user_id, CAST(r AS DATE) AS order_received_date, strftime(r, '%H:%M:%S') AS order_received_time,
+  CAST(p AS DATE) AS pending_delivery_date, strftime(p, '%H:%M:%S') AS pending_delivery_time,
+  CAST(i AS DATE) AS delivery_in_progress_date, strftime(i, '%H:%M:%S') AS delivery_in_progress_time,
+  CAST(d AS DATE) AS delivered_date, strftime(d, '%H:%M:%S') AS delivered_time,
+  CAST(c AS DATE) AS cancelled_date, strftime(c, '%H:%M:%S') AS cancelled_time,
+  CAST(NULL AS DATE) AS returned_date, CAST(NULL AS VARCHAR) AS returned_time FROM m""")
 def order_lifecycle_same_row(t: Inputs):
-    pivot = f.state_pivot(event_states(t), "user_id", "state", "ts", same_row=True)
-    return pivot.select("user_id", "delivered_date", "delivered_time")
+    """All six states, date and time of each from its latest moment."""
+    return f.state_pivot(event_states(t), "user_id", "state", "ts", same_row=True)
 
 
 def event_states(t: Inputs):
@@ -239,6 +245,11 @@ def event_sources(t: Inputs) -> dict:
     }
 
 
+def _texts(columns: str) -> str:
+    """SQL: the columns as text, 'null' for null."""
+    return ", ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), 'null')" for c in columns.split(","))
+
+
 COMPANY_SQL = """
 company AS (SELECT object_nk, sha256(concat_ws('||', k, object_nk, nm, 'x', 'null', 'null', 'null', 'null', 'null', 'null', '1.500000', '2.250000')) AS company_id FROM (
   SELECT c_custkey AS k, 'c:' || c_custkey AS object_nk, c_name AS nm FROM customer
@@ -265,9 +276,10 @@ e AS (
   UNION ALL SELECT NULL, NULL, NULL, funding_rounds_id, NULL, 'Made Investment', 's:' || l_suppkey,
     NULL, NULL, NULL, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), CAST(l_orderkey AS VARCHAR), NULL, o_orderdate, 'web', o_orderpriority FROM lineitem LEFT JOIN fr ON l_orderkey = o_orderkey),
 k AS (SELECT e.*, company_id, sha256(et) AS event_type_id, CAST(event_datetime AS DATE) AS event_date FROM e LEFT JOIN company USING (object_nk))
-SELECT sha256(concat_ws('||', {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in f.EVENT_KEY)})) AS startup_event_id,
-  sha256(concat_ws('||', {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in f.STABLE_KEY)})) AS stable_id,
-  {", ".join(f.EVENT_COLUMNS[2:])} FROM k"""
+SELECT sha256(concat_ws('||', {_texts("""company_id, acquisition_id, ipos_id, funds_id, funding_rounds_id, milestones_id, event_type_id, object_nk, acquisition_nk, ipo_nk, fund_nk,
+    investment_nk, funding_round_nk, event_datetime, event_date, source_url, source_description""")})) AS startup_event_id,
+  sha256(concat_ws('||', {_texts("object_nk, event_type_id, acquisition_nk, ipo_nk, fund_nk, funding_round_nk, investment_nk, milestone_nk")})) AS stable_id,
+  acquisition_id, ipos_id, funds_id, funding_rounds_id, milestones_id, company_id, event_type_id, event_datetime, event_date, source_url, source_description FROM k"""
 
 
 @query("event_fact_union", EVENT_SQL)
@@ -279,21 +291,78 @@ def event_fact_union(t: Inputs):
     return f.company_events(sources, dims)
 
 
-@query("investment_dimensions", f"""
-WITH {COMPANY_SQL},
-people AS (SELECT 'c:' || c_custkey AS people_nk, sha256(concat_ws('||', 'c:' || c_custkey, c_mktsegment, c_name, 'null', 'null')) AS people_id FROM customer)
-SELECT 'company' AS dim, company_id AS id FROM company
-UNION ALL SELECT 'people', people_id FROM people
-UNION ALL SELECT 'investments', sha256(concat_ws('||', l_orderkey * 10 + l_linenumber, l_orderkey, 'p:' || l_partkey, 's:' || l_suppkey)) FROM lineitem
-UNION ALL SELECT 'relationships', sha256(concat_ws('||', coalesce(people_id, 'null'), coalesce(company_id, 'null'), o_orderkey, 'c:' || o_custkey, 'p:' || o_custkey,
-  CAST(o_orderdate AS VARCHAR), 'null', 'true', '7', o_orderpriority))
-  FROM orders LEFT JOIN people ON people_nk = 'c:' || o_custkey LEFT JOIN company ON object_nk = 'p:' || o_custkey
-UNION ALL SELECT 'acquisition', sha256(concat_ws('||', o_orderkey, 'c:' || o_custkey, 'p:' || o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(15, 2)), 'USD')) FROM orders
-UNION ALL SELECT 'milestones', sha256(concat_ws('||', event_id, props, event_type)) FROM events WHERE event_type IN ('view', 'click', 'error')""")
+PEOPLE_SQL = """people AS (
+  SELECT sha256(concat_ws('||', 'c:' || c_custkey, c_mktsegment, c_name, 'null', 'null')) AS people_id, 'c:' || c_custkey AS people_nk,
+    c_mktsegment AS first_name, c_name AS last_name, CAST(NULL AS VARCHAR) AS birthplace, CAST(NULL AS VARCHAR) AS affiliation_name FROM customer)"""
+_NONE = "CAST(NULL AS VARCHAR) AS"
+
+# The nine dimensions with all their columns; amounts as text, so that they compare exactly.
+DIMENSION_SQL = {
+    "company": f"""
+WITH {COMPANY_SQL.strip()},
+offices AS (
+  SELECT c_custkey AS office_nk, 'c:' || c_custkey AS object_nk, c_name AS description FROM customer
+  UNION ALL SELECT s_suppkey, 's:' || s_suppkey, s_name FROM supplier
+  UNION ALL SELECT p_partkey, 'p:' || p_partkey, p_name FROM part)
+SELECT company_id, office_nk, object_nk, description, 'x' AS region, {_NONE} address1, {_NONE} address2, {_NONE} city, {_NONE} zip_code,
+  {_NONE} state_code, {_NONE} country_code, '1.500000' AS latitude, '2.250000' AS longitude
+FROM offices JOIN company USING (object_nk)""",
+    "acquisition": """
+SELECT sha256(concat_ws('||', o_orderkey, 'c:' || o_custkey, 'p:' || o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(15, 2)), 'USD')) AS acquisition_id,
+  o_orderkey AS acquisition_nk, 'c:' || o_custkey AS acquiring_object_nk, 'p:' || o_custkey AS acquired_object_nk, o_orderstatus AS term_code,
+  CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS VARCHAR) AS price_amount, 'USD' AS price_currency_code FROM orders""",
+    "ipos": f"""
+SELECT sha256(concat_ws('||', event_id, CAST(value AS DECIMAL(15, 2)), 'null', 'null', 'null', props)) AS ipos_id, event_id AS ipo_nk,
+  CAST(CAST(value AS DECIMAL(15, 2)) AS VARCHAR) AS valuation_amount, {_NONE} valuation_currency_code, {_NONE} raised_amount, {_NONE} raised_currency_code,
+  props AS stock_symbol FROM events WHERE event_type = 'signup'""",
+    "funds": f"""
+SELECT sha256(concat_ws('||', event_id, props, 'null', 'null')) AS funds_id, event_id AS fund_nk, props AS name, {_NONE} raised_amount,
+  {_NONE} raised_currency_code FROM events WHERE event_type = 'purchase'""",
+    "funding_rounds": f"""
+SELECT sha256(concat_ws('||', o_orderkey, {", ".join(["'null'"] * 15)})) AS funding_rounds_id, o_orderkey AS funding_round_nk,
+  {_NONE} funding_round_type, {_NONE} funding_round_code, {_NONE} raised_amount_usd, {_NONE} raised_amount, {_NONE} raised_currency_code,
+  {_NONE} pre_money_valuation_usd, {_NONE} pre_money_valuation, {_NONE} pre_money_currency_code, {_NONE} post_money_valuation_usd,
+  {_NONE} post_money_valuation, {_NONE} post_money_currency_code, {_NONE} participants, {_NONE} is_first_round, {_NONE} is_last_round,
+  {_NONE} created_by FROM orders""",
+    "people": f"WITH {PEOPLE_SQL} SELECT people_id, people_nk, first_name, last_name, birthplace, affiliation_name FROM people",
+    "milestones": """
+SELECT sha256(concat_ws('||', event_id, props, event_type)) AS milestones_id, event_id AS milestone_nk, props AS description, event_type AS milestone_code
+FROM events WHERE event_type IN ('view', 'click', 'error')""",
+    "investments": f"""
+SELECT sha256(concat_ws('||', l_orderkey * 10 + l_linenumber, l_orderkey, 'p:' || l_partkey, 's:' || l_suppkey)) AS investments_id,
+  CASE WHEN o_orderkey IS NOT NULL THEN sha256(concat_ws('||', o_orderkey, {", ".join(["'null'"] * 15)})) END AS funding_rounds_id,
+  l_orderkey * 10 + l_linenumber AS investment_nk, l_orderkey AS funding_round_nk, 'p:' || l_partkey AS funded_object_nk,
+  's:' || l_suppkey AS investor_object_nk FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey""",
+    "relationships": f"""
+WITH {COMPANY_SQL.strip()},
+{PEOPLE_SQL}
+SELECT sha256(concat_ws('||', coalesce(people_id, 'null'), coalesce(company_id, 'null'), o_orderkey, 'c:' || o_custkey, 'p:' || o_custkey,
+    CAST(o_orderdate AS VARCHAR), 'null', 'true', '7', o_orderpriority)) AS relationships_id,
+  people_id, company_id, o_orderkey AS relationship_nk, 'c:' || o_custkey AS person_object_nk, 'p:' || o_custkey AS relationship_object_nk,
+  o_orderdate AS start_at, CAST(NULL AS TIMESTAMP) AS end_at, true AS is_past, CAST(7 AS INTEGER) AS sequence, o_orderpriority AS title
+FROM orders LEFT JOIN people ON people_nk = 'c:' || o_custkey LEFT JOIN company ON object_nk = 'p:' || o_custkey""",
+}
+
+
+def _dimension_query(name: str):
+    @query(f"dim_{name}", DIMENSION_SQL[name])
+    def run(t: Inputs):
+        df = d.investment_dimensions(event_sources(t))[name]
+        return df.select(*[F.col(c).cast("string") if kind.startswith("decimal") else F.col(c) for c, kind in df.dtypes])
+
+    return run
+
+
+for _name in DIMENSION_SQL:
+    _dimension_query(_name)
+
+
+@query("investment_dimensions", "UNION ALL ".join(
+    f"SELECT '{name}' AS dim, {name}_id AS id FROM ({sql.strip()})\n" for name, sql in DIMENSION_SQL.items()))
 def investment_dimensions(t: Inputs):
+    """The keys of all nine dimensions."""
     dims = d.investment_dimensions(event_sources(t))
-    wanted = ("company", "people", "investments", "relationships", "acquisition", "milestones")
-    return stack_tables([dims[n].select(F.lit(n).alias("dim"), F.col(dims[n].columns[0]).alias("id")) for n in wanted])
+    return stack_tables([df.select(F.lit(n).alias("dim"), F.col(f"{n}_id").alias("id")) for n, df in dims.items()])
 
 
 @query("events_per_minute_fact", """

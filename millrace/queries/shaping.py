@@ -189,6 +189,46 @@ def split_wide(t: Inputs):
     return shape.stack_tables(list(parts.values()))
 
 
+def campaign_file(t: Inputs):
+    """The marketing file made from customers and orders, one row per contact."""
+    nothing = F.lit(None).cast("string")
+    people = lookups.left_lookup(t.orders, t.customer, {"c_custkey": "o_custkey"}, {"segment": "c_mktsegment"})
+    day = F.least(F.dayofmonth("o_orderdate"), F.lit(28))
+    return people.select(
+        F.col("o_custkey").alias("client_id"), F.lit(30).alias("age"), F.concat("segment", F.lit(".")).alias("job"), nothing.alias("marital"),
+        F.when(F.col("o_orderstatus") == "F", "high.school").when(F.col("o_orderstatus") == "O", "unknown").otherwise("basic.4y").alias("education"), nothing.alias("credit_default"), F.when(F.col("o_totalprice") > 100000, "yes").alias("housing"), nothing.alias("loan"),
+        F.lit(1).alias("campaign"), F.lit(60).alias("duration"), F.lit(0).alias("pdays"), F.lit(0).alias("previous"),
+        F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failure").otherwise("nonexistent").alias("poutcome"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "yes").otherwise("no").alias("y"),
+        F.lower(F.date_format("o_orderdate", "MMM")).alias("month"), day.alias("day"),
+        F.round("o_totalprice", 2).alias("emp_var_rate"), F.lit(0.0).alias("cons_price_idx"), F.col("o_orderkey").cast("double").alias("euribor3m"), F.lit(0.0).alias("nr_employed"),
+    )
+
+
+@query("campaign_clients", """
+SELECT o_custkey AS id, 30 AS age, c_mktsegment AS job, CAST(NULL AS VARCHAR) AS marital,
+  CASE o_orderstatus WHEN 'F' THEN 'high_school' WHEN 'O' THEN NULL ELSE 'basic_4y' END AS education, CAST(NULL AS VARCHAR) AS credit_default,
+  CASE WHEN o_totalprice > 100000 THEN 'yes' END AS housing, CAST(NULL AS VARCHAR) AS loan
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
+def campaign_clients(t: Inputs):
+    return split_campaign(campaign_file(t))["client"]
+
+
+@query("campaign_contacts", """
+SELECT 1 AS campaign_id, o_custkey AS client_id, 1 AS number_contacts, 60 AS contact_duration, 0 AS pdays, 0 AS previous_campaign_contacts,
+  CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS previous_outcome, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS campaign_outcome,
+  make_date(2022, month(o_orderdate), least(day(o_orderdate), 28)) AS last_contact_date FROM orders""")
+def campaign_contacts(t: Inputs):
+    return split_campaign(campaign_file(t))["campaign"]
+
+
+@query("campaign_economics", """
+SELECT o_custkey AS client_id, round(o_totalprice, 2) AS emp_var_rate, 0.0::DOUBLE AS cons_price_idx, o_orderkey::DOUBLE AS euribor_three_months,
+  0.0::DOUBLE AS number_employed FROM orders""")
+def campaign_economics(t: Inputs):
+    return split_campaign(campaign_file(t))["economics"]
+
+
 @query("campaign_split", """
 SELECT id, sum(is_client) AS clients, sum(outcome) AS outcomes, sum(prev) AS previous, max(d) AS last_contact_date, count(education) AS educations
 FROM (
@@ -198,20 +238,8 @@ FROM (
     CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END, make_date(2022, month(o_orderdate), least(day(o_orderdate), 28)), NULL FROM orders)
 GROUP BY 1""")
 def campaign_split(t: Inputs):
-    """The marketing file made from customers and orders, split and put together again per client."""
-    nothing = F.lit(None).cast("string")
-    people = lookups.left_lookup(t.orders, t.customer, {"c_custkey": "o_custkey"}, {"segment": "c_mktsegment"})
-    day = F.least(F.dayofmonth("o_orderdate"), F.lit(28))
-    wide = people.select(
-        F.col("o_custkey").alias("client_id"), F.lit(30).alias("age"), F.col("segment").alias("job"), nothing.alias("marital"),
-        F.lit("unknown").alias("education"), nothing.alias("credit_default"), nothing.alias("housing"), nothing.alias("loan"),
-        F.lit(1).alias("campaign"), F.lit(60).alias("duration"), F.lit(0).alias("pdays"), F.lit(0).alias("previous"),
-        F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failure").otherwise("nonexistent").alias("poutcome"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "yes").otherwise("no").alias("y"),
-        F.lower(F.date_format("o_orderdate", "MMM")).alias("month"), day.alias("day"),
-        F.lit(0.0).alias("emp_var_rate"), F.lit(0.0).alias("cons_price_idx"), F.lit(0.0).alias("euribor3m"), F.lit(0.0).alias("nr_employed"),
-    )
-    campaign = split_campaign(wide)["campaign"]
+    """The campaign part of the marketing file, put together again per client."""
+    campaign = split_campaign(campaign_file(t))["campaign"]
     per_client = campaign.groupBy(F.col("client_id").alias("id")).agg(
         F.sum("campaign_outcome").alias("outcomes"), F.sum("previous_outcome").alias("previous"),
         F.max("last_contact_date").alias("last_contact_date"),
@@ -416,7 +444,8 @@ def cte_report(t: Inputs):
 @query("catalogue_clean", r"""
 SELECT CAST(d.doc_id AS VARCHAR) AS id, '' AS gender, lang AS "masterCategory", source AS "subCategory",
   replace(CAST(n_chars AS VARCHAR) || '.0', '.0', '') AS year, '/img/' || d.doc_id || '.jpg' AS uri,
-  md5(lower(lang) || ' ' || replace(d.text, chr(10), '')) AS product
+  md5(lower(lang) || ' ' || replace(d.text, chr(10), '')) AS product,
+  concat(' ', lang, ' ', source, ' ', n_chars, ' ', lower(lang), ' ', replace(d.text, chr(10), '')) AS feature_text
 FROM documents d WHERE doc_id IN (SELECT doc_id FROM labels)""")
 def catalogue_clean(t: Inputs):
     products = t.documents.select(
@@ -426,7 +455,7 @@ def catalogue_clean(t: Inputs):
     )
     images = t.labels.select(F.col("doc_id").cast("string").alias("id"))
     clean = clean_catalogue(products, images, "/img", ["gender", "masterCategory", "subCategory", "year", "productDisplayName"])
-    return clean.select("id", "gender", "masterCategory", "subCategory", "year", "uri", F.md5("productDisplayName").alias("product"))
+    return clean.select("id", "gender", "masterCategory", "subCategory", "year", "uri", F.md5("productDisplayName").alias("product"), F.col("text").alias("feature_text"))
 
 
 @query("unnamed_products", """
