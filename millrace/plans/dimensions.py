@@ -23,8 +23,11 @@ class Dimension:
     types: Mapping[str, str] = field(default_factory=dict)
 
     def build(self, df: DataFrame) -> DataFrame:
-        typed = cast_columns(copy_columns(df, self.natural), self.types)
-        return hashed(typed, self.key, self.hashed)
+        return self.with_key(df).select(self.key, *self.hashed)
+
+    def with_key(self, df: DataFrame) -> DataFrame:
+        """All columns of the source, the natural keys and the hash key."""
+        return add_row_hash(cast_columns(copy_columns(df, self.natural), self.types), self.hashed, self.key)
 
 
 def hashed(df: DataFrame, key: str, columns: Sequence[str], *others: str) -> DataFrame:
@@ -143,6 +146,11 @@ def _keyed(df: DataFrame, key: str, natural: str) -> DataFrame:
     return df.select(surrogate_key(natural).alias(key), "*")
 
 
+def keys_only(df: DataFrame, natural: str, name: str) -> DataFrame:
+    """sk_<name>_id and nk_<name>_id of a source: what a fact needs of its dimension, without the dimension's joins."""
+    return df.select(surrogate_key(natural).alias(f"sk_{name}_id"), F.col(natural).alias(f"nk_{name}_id"))
+
+
 def address_dimension(address: DataFrame, country: DataFrame) -> DataFrame:
     base = rename_select(address, {
         "nk_address_id": "address_id", "street_name": "street_name", "city": "city", "_country": "country_id",

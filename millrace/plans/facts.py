@@ -14,7 +14,7 @@ from ..operators.aggregates import pick_by_label
 from ..operators.lookups import attach_keys, left_lookup
 from ..operators.shape import stack_tables
 from ..operators.windows import dates_with_previous
-from .dimensions import address_dimension, book_dimension, customer_dimension
+from .dimensions import INVESTMENT_DIMENSIONS, keys_only
 
 # Event labels, and the columns that make up the two hash keys, in order.
 EVENT_LABELS = (
@@ -59,20 +59,22 @@ def company_events(
 
     startup_event_id covers every attribute; stable_id covers the natural keys, the object and the
     kind of event, so that it outlives corrections of the attributes.
+
+    `dims` has to hold company and funding_rounds. A key of another dimension is a hash of the event's own row
+    and is made there, unless that dimension is given and the key is to be looked up in it.
     """
-    acquisition = role_events(
-        sources["acquisition"], {"acquisition_id": "acquisition_nk"},
-        {"acquiring_object_id": "Acquiring", "acquired_object_id": "Acquired"}, "acquired_at",
-    ).transform(attach_keys, dims["acquisition"], {"acquisition_nk": "acquisition_id"})
-    ipos = role_events(
-        sources["ipos"], {"ipo_id": "ipo_nk"}, {"object_id": "IPO"}, "public_at"
-    ).transform(attach_keys, dims["ipos"], {"ipo_nk": "ipos_id"})
-    funds = role_events(
-        sources["funds"], {"fund_id": "fund_nk"}, {"object_id": "Funds"}, "funded_at"
-    ).transform(attach_keys, dims["funds"], {"fund_nk": "funds_id"})
-    milestones = role_events(
-        sources["milestones"], {"milestone_id": "milestone_nk"}, {"object_id": "Milestone"}, "milestone_at"
-    ).transform(attach_keys, dims["milestones"], {"milestone_nk": "milestones_id"})
+    def events_of(name: str, natural: str, roles: Mapping[str, str], moment: str) -> DataFrame:
+        spec = INVESTMENT_DIMENSIONS[name]
+        if name in dims:
+            events = role_events(sources[name], {next(iter(spec.natural)): natural}, roles, moment)
+            return attach_keys(events, dims[name], {natural: spec.key})
+        return role_events(spec.with_key(sources[name]), {natural: natural, spec.key: spec.key}, roles, moment)
+
+    acquisition = events_of(
+        "acquisition", "acquisition_nk", {"acquiring_object_id": "Acquiring", "acquired_object_id": "Acquired"}, "acquired_at")
+    ipos = events_of("ipos", "ipo_nk", {"object_id": "IPO"}, "public_at")
+    funds = events_of("funds", "fund_nk", {"object_id": "Funds"}, "funded_at")
+    milestones = events_of("milestones", "milestone_nk", {"object_id": "Milestone"}, "milestone_at")
     rounds = sources["funding_rounds"].select(
         F.col("funding_round_id").alias("funding_round_nk"),
         F.col("funded_at").try_cast("timestamp_ntz").alias("event_datetime"),
@@ -130,13 +132,13 @@ def order_lines(
 ) -> DataFrame:
     """The order lifecycle fact: one row per order line, ten sources.
 
-    Dimensions are built from the sources unless given; pass current rows of a history, not the
-    history. No side is broadcast by force: Spark sees the size of the calendar and of the other small
+    Keys are made from the natural keys of the sources unless dimensions are given; pass current rows of a
+    history, not the history. No side is broadcast by force: Spark sees the size of the calendar and of the other small
     tables. Everything known per order is joined before the order lines multiply the rows.
     """
-    dim_customer = dim_customer or customer_dimension(sources["customer"])
-    dim_address = dim_address or address_dimension(sources["address"], sources["country"])
-    dim_book = dim_book or book_dimension(sources["book"], sources["publisher"], sources["book_language"])
+    dim_customer = dim_customer or keys_only(sources["customer"], "customer_id", "customer")
+    dim_address = dim_address or keys_only(sources["address"], "address_id", "address")
+    dim_book = dim_book or keys_only(sources["book"], "book_id", "book")
     orders = sources["cust_order"].select(
         F.col("order_id").alias("nk_order_id"),
         F.to_date("order_date").alias("order_date"),

@@ -35,7 +35,7 @@ def investment_tables(
     spark = next(iter(sources.values())).sparkSession
     tables = d.investment_dimensions(sources, one_office)
     labels = spark.createDataFrame([(e,) for e in EVENT_LABELS], "event_type string")
-    tables["startup_event"] = company_events(sources, tables, one_office)
+    tables["startup_event"] = company_events(sources, {n: tables[n] for n in ("company", "funding_rounds")}, one_office)
     tables["event_type"] = d.event_type_table(labels, "event_type")
     tables["date"] = date_dimension(days(spark, *calendar))
     if run_time is None:  # one time for all tables

@@ -286,8 +286,7 @@ SELECT sha256(concat_ws('||', {_texts("""company_id, acquisition_id, ipos_id, fu
 def event_fact_union(t: Inputs):
     """The event fact of all seven kinds."""
     sources = event_sources(t)
-    dims = {n: d.INVESTMENT_DIMENSIONS[n].build(sources[n]) for n in
-            ("company", "acquisition", "ipos", "funds", "funding_rounds", "milestones")}
+    dims = {n: d.INVESTMENT_DIMENSIONS[n].build(sources[n]) for n in ("company", "funding_rounds")}
     return f.company_events(sources, dims)
 
 
