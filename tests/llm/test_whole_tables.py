@@ -1,4 +1,4 @@
-"""Operators 11 to 13 against plain versions."""
+"""Operators 11 to 13 against plain versions, operator 8 on odd tables."""
 
 import hashlib
 import math
@@ -255,3 +255,31 @@ def test_mix_of_nothing(session, no_docs):
     assert curriculum.plan(no_docs).isEmpty() and curriculum.mix(curriculum.plan(no_docs)).isEmpty()
     empty = documents(session, [None, ""])
     assert [(r["taken"], r["target"], r["passes"]) for r in curriculum.plan(empty).collect()] == [(0, 0.0, [])] * 2
+
+
+# Operator 8 on odd tables, and the registered queries of 11 to 13
+
+
+def test_url_rules_on_odd_tables(session):
+    from millrace.llm import urls
+
+    pages = session.createDataFrame(
+        [(1, "http://A.example.org/es/x", "h", "p"), (1, "http://A.example.org/es/x", "h", "p"), (None, None, None, None), (2, "no host", "", "")],
+        "page_id long, url string, host string, rule string",
+    )
+    found = sorted([tuple(r) for r in urls.judge(pages).collect()], key=str)
+    assert found == sorted([
+        (1, "a.example.org", "/es/x", "example.org/es/", "block"), (1, "a.example.org", "/es/x", "example.org/es/", "block"),
+        (None, "", "", None, "allow"), (2, "", "", None, "allow"),
+    ], key=str)
+    assert urls.judge(pages.limit(0)).isEmpty()
+
+
+def test_registered_digests_are_whole(session):
+    from millrace.llm.queries import QUERIES
+
+    docs = table(session, SMALL, "documents").count()
+    for name in ("op11_curriculum_mix", "op13_merkle_manifest"):
+        assert QUERIES[name](session, SMALL).select("doc_id").distinct().count() == docs
+    counted = QUERIES["op12_filter_audit"](session, SMALL).groupBy("part").count().collect()
+    assert {r["count"] for r in counted} == {600}
