@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,17 +41,25 @@ def distinct_count(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(*[F.countDistinct(c).alias(c) for c in columns])
 
 
-def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per bin of equal width between the smallest and the largest value."""
+def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = (), own_limits: bool = False) -> DataFrame:
+    """Rows per bin of equal width between the smallest and the largest value.
+
+    With `own_limits` each group's bins lie between its own smallest and largest value.
+    """
     value = F.col(column).cast("double")
-    limits = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()  # one scan
-    low = limits.getField("low")
-    width = (limits.getField("high") - low) / bins
+    rows, also = df.where(value.isNotNull()), []
+    if own_limits:
+        held = [f"_limit_of_{c}" for c in by]
+        limits = rows.groupBy(*[F.col(c).alias(h) for c, h in zip(by, held)]).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+        rows = rows.join(limits, reduce(and_, [F.col(c).eqNullSafe(F.col(h)) for c, h in zip(by, held)], F.lit(True)))
+        low, high, also = F.col("_low"), F.col("_high"), ["_low", "_high"]
+    else:
+        limits = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()  # one scan
+        low, high = limits.getField("low"), limits.getField("high")
+    width = (high - low) / bins
     place = F.when(width == 0, 0).otherwise(F.least(F.floor((value - low) / width), F.lit(bins - 1)))
-    counts = df.where(value.isNotNull()).groupBy(*by, place.cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return counts.withColumns({"bin_start": low + F.col("bin") * width})
+    counts = rows.groupBy(*by, *also, place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumns({"bin_start": low + F.col("bin") * width}).drop("_low", "_high")
 
 
 def shares(df: DataFrame, within: Sequence[str], item: Sequence[str], measure: Column) -> DataFrame:

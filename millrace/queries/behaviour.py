@@ -8,7 +8,7 @@ from ..functions.dates import calendar_age, month_start, week_start
 from ..functions.numbers import exact, exact_mean, exact_sum, yes_flag
 from ..operators import aggregates as agg
 from ..operators.lookups import left_lookup
-from ..operators.quantiles import describe, exact_quantiles
+from ..operators.quantiles import describe, describe_by, exact_quantiles
 from ..operators.search import keyword_scores
 from ..operators.shape import top_rows
 from ..operators.windows import previous_date
@@ -38,6 +38,16 @@ def histogram(t: Inputs):
     return agg.histogram(t.events, "value", 20, ["event_type"])
 
 
+@query("histogram_by_group", """
+WITH r AS (SELECT event_type, min(value) AS a, (max(value) - min(value)) / 20 AS w FROM events GROUP BY 1)
+SELECT event_type, CAST(least(floor((value - a) / w), 19) AS INTEGER) AS bin, count(*) AS n,
+  a + least(floor((value - a) / w), 19) * w AS bin_start
+FROM events JOIN r USING (event_type) GROUP BY ALL""")
+def histogram_by_group(t: Inputs):
+    """Bins between the limits of each type of event."""
+    return agg.histogram(t.events, "value", 20, ["event_type"], own_limits=True)
+
+
 @query("describe_column", """
 SELECT count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, min(value) AS low,
   quantile_disc(value, 0.25) AS q25, quantile_disc(value, 0.5) AS q50, quantile_disc(value, 0.75) AS q75, max(value) AS high
@@ -55,6 +65,29 @@ def describe_prices(t: Inputs):
     return describe(t.lineitem, "l_extendedprice", (0.01, 0.5, 0.99)).withColumns({c: F.round(c, 4) for c in ("mean", "sd")})
 
 
+def group_cuts_sql(table: str, by: str, value: str, probabilities: tuple[float, ...]) -> str:
+    """Rows, limits and the values at rank ceil(p * n) of each group, from numbered rows."""
+    at = "greatest(1, ceil(round({p} * n, 6)))"
+    cuts = "".join(f", min(v) FILTER (k = {at.format(p=p)}) AS q{round(p * 100)}" for p in probabilities)
+    return f"""numbered AS (
+  SELECT {by}, {value} AS v, row_number() OVER (PARTITION BY {by} ORDER BY {value}) AS k, count(*) OVER (PARTITION BY {by}) AS n
+  FROM {table} WHERE {value} IS NOT NULL),
+cuts AS (SELECT {by}, count(*) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS sd, min(v) AS low{cuts}, max(v) AS high FROM numbered GROUP BY {by})"""
+
+
+@query("describe_by_type", f"WITH {group_cuts_sql('events', 'event_type', 'value', (0.25, 0.5, 0.75))} SELECT * FROM cuts")
+def describe_by_type(t: Inputs):
+    """Few groups, each of a large part of the rows."""
+    return describe_by(t.events, ["event_type"], "value").withColumns({c: F.round(c, 6) for c in ("mean", "sd")})
+
+
+@query("describe_by_order", f"""
+WITH {group_cuts_sql('lineitem', 'l_orderkey', 'l_extendedprice', (0.25, 0.5, 0.75))} SELECT * EXCLUDE (mean, sd) FROM cuts""")
+def describe_by_order(t: Inputs):
+    """As many groups as orders, a few rows each."""
+    return describe_by(t.lineitem, ["l_orderkey"], "l_extendedprice").drop("mean", "sd")
+
+
 @query("n_unique", """
 SELECT count(DISTINCT c_name) AS c_name, count(DISTINCT c_nationkey) AS c_nationkey, count(DISTINCT c_mktsegment) AS c_mktsegment FROM customer""")
 def n_unique(t: Inputs):
