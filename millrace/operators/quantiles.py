@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 SLICES = 2048
-# Slices per unit of log(1 + |value|) in the first pass of `group_quantiles`.
+# Slices per power of two in the first pass of `group_quantiles`; the smallest number is 2 ** -1074.
 COARSE = 32
+LEAST_POWER = -1074
 
 
 @dataclass(frozen=True)
@@ -143,7 +144,8 @@ def group_quantiles(df: DataFrame, by: Sequence[str], column: str, probabilities
     values = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(column).cast("double").alias("_v"))
     values = values.where(v.isNotNull() & ~F.isnan(v))
     far = F.when(v > 0, 1 << 30).otherwise(-(1 << 30))
-    place = F.when(F.abs(v) < inf, F.floor(F.signum(v) * F.log1p(F.abs(v)) * COARSE).cast("int")).otherwise(far)
+    size = F.when(v == 0, 0.0).otherwise(F.log2(F.abs(v)) - LEAST_POWER + 1)
+    place = F.when(F.abs(v) < inf, F.floor(F.signum(v) * size * COARSE).cast("int")).otherwise(far)
     measures = [F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
     pieces = values.groupBy(*keys, place.alias("_piece")).agg(*measures)
     total = F.sum("_n").over(Window.partitionBy(*keys))
