@@ -51,43 +51,46 @@ def reward_of(liked: Column) -> Column:
 
 
 def learn_values(
-    feedback: DataFrame, n_items: int, order: Sequence[str], alpha: float = ALPHA, gamma: float = GAMMA
+    feedback: DataFrame, n_items: int, order: Sequence[str], alpha: float = ALPHA, gamma: float = GAMMA, known: DataFrame | None = None
 ) -> DataFrame:
     """user_id, item_id, q after all feedback (columns user_id, item_id, reward, *order).
 
     Each step depends on the one before it, so a user's rows are folded in order. They are
     streamed through the task batch by batch from Spark's sort, which spills; the memory needed is
     one value per item of one user, however much feedback that user gave. `n_items` is the size
-    of the catalogue.
+    of the catalogue. With `known` (user_id, item_id, q) learning goes on from these values, and only
+    items that the feedback names are returned.
     """
     types = {f.name: f.dataType.simpleString() for f in feedback.schema.fields}
     schema = f"user_id {types['user_id']}, item_id {types['item_id']}, q double"
-    ordered = (
-        feedback.select("user_id", "item_id", F.col("reward").cast("double").alias("reward"), *order)
-        .repartition("user_id")
-        .sortWithinPartitions("user_id", *order)
-        .select("user_id", "item_id", "reward")
-    )
+    rows = feedback.select("user_id", "item_id", F.col("reward").cast("double").alias("reward"), *order, F.lit(True).alias("_new"))
+    if known is not None:
+        before = known.select("user_id", "item_id", F.col("q").alias("reward"), F.lit(False).alias("_new"))
+        rows = rows.unionByName(before, allowMissingColumns=True)
+    ordered = rows.repartition("user_id").sortWithinPartitions("user_id", "_new", *order).select("user_id", "item_id", "reward", "_new")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        user, values, kinds, started = None, None, None, False
+        user, values, named, kinds, started = None, None, {}, None, False
 
         def rows():
-            q = values.q
             return pa.RecordBatch.from_arrays(
-                [pa.array([user] * len(q), kinds[0]), pa.array(list(q), kinds[1]), pa.array(list(q.values()), pa.float64())],
+                [pa.array([user] * len(named), kinds[0]), pa.array(list(named), kinds[1]), pa.array([values.q[i] for i in named], pa.float64())],
                 names=["user_id", "item_id", "q"],
             )
 
         for batch in batches:
             kinds = (batch.schema.field(0).type, batch.schema.field(1).type)
-            for u, item, reward in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for u, item, reward, new in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if not started or u != user:
-                    if started:
+                    if named:
                         yield rows()
-                    user, values, started = u, Values(n_items, alpha, gamma), True
-                values.learn(item, reward)
-        if started:
+                    user, values, named, started = u, Values(n_items, alpha, gamma), {}, True
+                if new:
+                    values.learn(item, reward)
+                    named[item] = True
+                else:
+                    values.q[item] = reward
+        if named:
             yield rows()
 
     return ordered.mapInArrow(fold, schema)

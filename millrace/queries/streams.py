@@ -6,12 +6,11 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from ..operators import prefs
 from ..session import scratch_path
 from ..streaming import gate, ingest, store
 from ..streaming.prefs import prefs_stream
 from .base import Inputs, query
-from .vectors import PREFS
+from .vectors import PREFS, feedback
 
 
 def event_stream(t: Inputs):
@@ -80,13 +79,11 @@ def stream_upsert(t: Inputs):
 
 @query("stream_prefs", f"WITH RECURSIVE {PREFS} SELECT user_id, item_id, round(q, 9) AS q FROM learned")
 def stream_prefs(t: Inputs):
+    """The values of all users, learned over four batches in order of time and a compaction between them."""
     home = scratch_path(t.spark, "prefs")
-    feedback = event_stream(t).select(
-        "user_id", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("item_id"),
-        prefs.reward_of(F.col("event_type") != "error").alias("reward"), "ts", "event_id",
-    )
     n_items = t.events.select(F.regexp_extract("props", "([0-9]+)", 1)).distinct().count()
-    values = prefs_stream(feedback, n_items, ["ts", "event_id"], f"{home}/values", f"{home}/checkpoint")
+    for stream in slices(t, home):
+        values = prefs_stream(feedback(stream), n_items, ["ts", "event_id"], f"{home}/values", f"{home}/checkpoint", every=2)
     return values.withColumn("q", F.round("q", 9))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import blend, inner_product, l2_normalise
@@ -84,16 +85,16 @@ learned AS (SELECT user_id, item_id, q[pos] AS q FROM final, items WHERE (user_i
 """
 
 
-def feedback(t: Inputs):
+def feedback(events: DataFrame):
     """Events as feedback on the item named in their properties; errors are a no."""
-    return t.events.select(
+    return events.select(
         "user_id", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("item_id"),
         prefs.reward_of(F.col("event_type") != "error").alias("reward"), "ts", "event_id",
     )
 
 
 def learned(t: Inputs):
-    rows = feedback(t)
+    rows = feedback(t.events)
     n_items = rows.select("item_id").distinct().count()
     return prefs.learn_values(rows, n_items, ["ts", "event_id"])
 
@@ -114,7 +115,7 @@ def preference_report(t: Inputs):
 def rerank(t: Inputs):
     """Each user's query is the label of the item of the latest event; 30 candidates, then the learned value."""
     found = sim.top_items(items(t), centres(t), 30).select(F.col("query_id").alias("label"), "item_id", "score")
-    latest = feedback(t).groupBy("user_id").agg(F.max_by("item_id", F.struct("ts", "event_id")).alias("seen"))
+    latest = feedback(t.events).groupBy("user_id").agg(F.max_by("item_id", F.struct("ts", "event_id")).alias("seen"))
     wanted = latest.join(t.embeddings.select(F.col("vec_id").alias("seen"), "label"), "seen").select("user_id", "label")
     candidates = prefs.with_values(wanted.join(found, "label"), learned(t))
     return prefs.choose(candidates, ["user_id"], seed=7)

@@ -1,56 +1,49 @@
-"""Online preference learning: the state of each user lives in the state store."""
+"""Online preference learning: the values are a keyed table that each batch appends to."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.prefs import ALPHA, GAMMA, Values
+from ..operators.prefs import ALPHA, GAMMA, learn_values
+from . import store
 from .ingest import finish
 
 
 def prefs_stream(
-    feedback: DataFrame, n_items: int, order: Sequence[str], sink: str, checkpoint: str,
-    alpha: float = ALPHA, gamma: float = GAMMA, wait: float | None = None,
+    feedback: DataFrame, n_items: int, order: Sequence[str], target: str, checkpoint: str,
+    alpha: float = ALPHA, gamma: float = GAMMA, every: int = 8, wait: float | None = None,
 ) -> DataFrame:
-    """Fold feedback (user_id, item_id, reward, *order) as it arrives; returns the last values.
+    """Fold feedback (user_id, item_id, reward, *order) as it arrives; returns user_id, item_id, q.
 
-    Batches must come in order; inside a batch each user's rows are sorted. The state is the list
-    of items and values of one user. Every batch emits the values it changed, stamped with a step
-    number, and the last one per user and item is the answer.
+    Batches must come in order; inside a batch Spark sorts each user's rows, spilling where it must,
+    and streams them through the fold. The values, one row per user and item, are a merge-on-read store
+    at `target`: a batch reads those of the users it names and appends the values it changed; after
+    each `every` batches the store is compacted. A batch that was written completely is not learned
+    again when it is repeated. Rows without a user count as one user, rows without an item as one item.
     """
     spark = feedback.sparkSession
-    users = feedback.schema["user_id"].dataType.simpleString()
-    items = feedback.schema["item_id"].dataType.simpleString()
-    schema = f"user_id {users}, item_id {items}, q double, step bigint"
-    state_schema = f"items array<{items}>, q array<double>, step bigint"
-
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known, q, step = state.get if state.exists else ([], [], 0)
-        values = Values(n_items, alpha, gamma, dict(zip(known, q)))
-        rows = pd.concat(list(frames)).sort_values(list(order))  # one user's rows of one batch
-        touched = {}
-        for item, reward in zip(rows["item_id"].tolist(), rows["reward"].tolist()):
-            values.learn(item, reward)
-            touched[item] = True
-        step += len(rows)
-        state.update((list(values.q), list(values.q.values()), step))
-        yield pd.DataFrame({
-            "user_id": [key[0]] * len(touched), "item_id": list(touched),
-            "q": [values.q[i] for i in touched], "step": [step] * len(touched),
-        })
-
-    changed = feedback.groupBy("user_id").applyInPandasWithState(
-        fold, schema, state_schema, "append", GroupStateTimeout.NoTimeout
-    )
+    table = store.Store(target, ("user_id", "item_id"), ("q",), history=False)
+
+    def values() -> DataFrame:
+        return store.read(spark, table).select("user_id", "item_id", "q")
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        written = store.batches(spark, table)
+        if batch not in written:
+            known = None
+            if written:
+                users = rows.select(F.col("user_id").alias("_user")).distinct()
+                known = values().join(users, F.col("user_id").eqNullSafe(F.col("_user")), "left_semi")
+            store.write_batch(table, learn_values(rows, n_items, order, alpha, gamma, known), batch, "1970-01-01")
+        if batch % every == every - 1:
+            store.compact(spark, table)
+
     query = (
-        changed.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
+        feedback.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
     finish(query, wait)
-    last = F.max(F.struct("step", "q")).getField("q").alias("q")
-    return spark.read.schema(schema).parquet(sink).groupBy("user_id", "item_id").agg(last)
+    return values()

@@ -53,6 +53,11 @@ def _complete(spark: SparkSession, folder: str, name: str) -> list[int]:
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found or [])
 
 
+def batches(spark: SparkSession, store: Store) -> list[int]:
+    """The numbers of the complete batches, ascending."""
+    return _complete(spark, f"{store.target}/batches", "batch")
+
+
 def write_batch(store: Store, changes: DataFrame, batch: int, run_time: str) -> None:
     """Append a batch: at most one row per key."""
     bucket = F.pmod(F.xxhash64(*store.keys), F.lit(store.buckets)).cast("int")
@@ -78,13 +83,13 @@ def _any_of(parts: dict[int, list[int]], column: str, compare: Callable[[Column,
 def _sources(spark: SparkSession, store: Store) -> tuple[DataFrame | None, DataFrame]:
     """Base rows that count, and the changes not yet in a base."""
     _, places = _manifest(spark, store)
-    batches = _complete(spark, f"{store.target}/batches", "batch")
-    if not batches:
+    written = batches(spark, store)
+    if not written:
         raise ValueError(f"no batch was written to {store.target}")
     since = defaultdict(list)
     for bucket in range(store.buckets):
         since[places.get(bucket, (-1, -1))[1]].append(bucket)
-    changes = spark.read.option("basePath", f"{store.target}/batches").parquet(*[f"{store.target}/batches/batch={b}" for b in batches])
+    changes = spark.read.option("basePath", f"{store.target}/batches").parquet(*[f"{store.target}/batches/batch={b}" for b in written])
     changes = changes.where(_any_of(since, "batch", lambda c, n: c > n))
     if not places:
         return None, changes
@@ -152,7 +157,7 @@ def compact(spark: SparkSession, store: Store, ratio: float = RATIO) -> list[int
     Buckets without a base are compacted with their first change.
     """
     gen, places = _manifest(spark, store)
-    last = _complete(spark, f"{store.target}/batches", "batch")[-1]
+    last = batches(spark, store)[-1]
     base, changes = _sources(spark, store)
     counts = changes.groupBy("bucket").agg(F.count("*").alias("fresh"))
     if base is not None:

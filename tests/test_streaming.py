@@ -93,3 +93,33 @@ def test_online_preferences_equal_the_batch_fold(spark, tmp_path):
     batch = prefs.learn_values(spark.createDataFrame(data, schema), 6, ["t"])
     got, expected = ({(r.user_id, r.item_id): r.q for r in df.collect()} for df in (online, batch))
     assert got == pytest.approx(expected) and len(got) == len(expected)
+
+
+@pytest.mark.parametrize("every", [1, 2, 100])
+def test_preferences_go_on_over_batches_and_runs(spark, tmp_path, every):
+    """A user with a third of all feedback, users and items without an id, users that come back later."""
+    rng = random.Random(7)
+    schema = "user_id int, item_id int, reward double, t int"
+    users, items = [0, 0, 0, 1, 2, 3, 4, None, 5], [0, 1, 2, 3, None]
+    data = [(rng.choice(users), rng.choice(items), rng.choice([1.0, -4.0]), i) for i in range(200)]
+    for i in range(5):
+        drop_in(spark, f"{tmp_path}/in", f"part{i}", rng.sample(data[i * 40:(i + 1) * 40], 40), schema)
+        stream = ingest.file_stream(spark, f"{tmp_path}/in/*", spark.createDataFrame([], schema).schema)
+        online = prefs_stream(stream, 6, ["t"], f"{tmp_path}/values", f"{tmp_path}/ckpt", every=every, wait=WAIT)
+    got = {(r.user_id, r.item_id): r.q for r in online.collect()}
+    expected = {}
+    for user, item, reward, _ in data:
+        mine = [q for (u, _), q in expected.items() if u == user]
+        top = max(mine + [0.0] * (len(mine) < 6))
+        q = expected.get((user, item), 0.0)
+        expected[user, item] = q + 0.1 * (reward + 0.9 * top - q)
+    assert got == pytest.approx(expected)
+
+
+def test_a_repeated_preference_batch_is_learned_once(spark, tmp_path):
+    schema = "user_id int, item_id int, reward double, t int"
+    drop_in(spark, f"{tmp_path}/in", "part", [(1, 1, 1.0, 1), (1, 1, 1.0, 2)], schema)
+    for i in range(2):  # a new checkpoint: the same rows come as batch 0 again
+        stream = ingest.file_stream(spark, f"{tmp_path}/in/*", spark.createDataFrame([], schema).schema)
+        values = prefs_stream(stream, 3, ["t"], f"{tmp_path}/values", f"{tmp_path}/ckpt{i}", every=1, wait=WAIT)
+    assert rows(values.selectExpr("user_id", "item_id", "round(q, 9)")) == [(1, 1, 0.199)]
