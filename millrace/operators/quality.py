@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .lookups import missing_keys
 
 FAR_DATE = "9999-12-31"
@@ -182,3 +185,97 @@ def blocked_deletes(children: DataFrame, child_column: str, removed: DataFrame,
     """NO ACTION: the root rows that may not go because a child row refers to them."""
     used = children.select(F.col(child_column).alias(parent_column)).distinct()
     return removed.join(used, parent_column, "left_semi")
+
+
+@dataclass(frozen=True)
+class Reference:
+    """`columns` of `child` refer to `parent_columns` of `parent`; a null part refers to nothing."""
+
+    child: str
+    columns: tuple[str, ...]
+    parent: str
+    parent_columns: tuple[str, ...]
+
+
+@dataclass
+class Cascade:
+    """Per table the rows that stay and the keys that go, and per NO ACTION reference the rows that forbid it."""
+
+    left: dict[str, DataFrame]
+    gone: dict[str, DataFrame]
+    blocked: dict[Reference, DataFrame]
+
+
+def cascade_graph(
+    tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], references: Sequence[Reference],
+    removed: Mapping[str, DataFrame], no_action: Sequence[Reference] = (),
+) -> Cascade:
+    """Delete rows of any tables and all rows that depend on them, whatever graph the references form.
+
+    Tables may refer to themselves and to each other in a circle. `keys` names the columns that identify
+    a row of each table (rows that share a key go together; a null is a value like others), `removed`
+    holds the keys to delete. Each round looks only for rows that refer to what the round before found,
+    as distinct values, and ends the job when there are none; so the rounds are as many as the longest
+    chain of references, and a parent of very many children adds one value to a semi join. A reference in
+    `no_action` does not spread the delete: children that stay and refer to a row that goes are
+    returned, and a caller who finds any has to give up the delete.
+    """
+    cited = {name: sorted({c for r in [*references, *no_action] if r.parent == name for c in r.parent_columns}) for name in tables}
+    slim = {name: list(dict.fromkeys([*keys[name], *cited[name]])) for name in tables}
+    fresh = {}
+    for name, wanted in removed.items():
+        first = _matching(tables[name], wanted.select(*keys[name]), keys[name], "left_semi").select(*slim[name]).distinct()
+        fresh[name] = _written(first)
+    gone = {name: [(0, fresh[name])] if name in fresh else [] for name in tables}
+    while fresh:
+        hits: dict[str, list[DataFrame]] = {}
+        for r in references:
+            if r.parent in fresh:
+                hits.setdefault(r.child, []).append(_referring(tables[r.child], r, fresh[r.parent]).select(*slim[r.child]))
+        fresh = {}
+        for name, parts in hits.items():
+            new = reduce(DataFrame.unionByName, parts).distinct()
+            if gone[name]:
+                known = reduce(DataFrame.unionByName, [df for _, df in gone[name]])
+                new = _matching(new, known, keys[name], "left_anti")
+            new = _written(new)
+            if not new.isEmpty():
+                fresh[name] = new
+        for name, new in fresh.items():
+            gone[name] = _appended(gone[name], new)
+    all_gone = {
+        name: reduce(DataFrame.unionByName, [df for _, df in parts], tables[name].select(*slim[name]).limit(0))
+        for name, parts in gone.items()
+    }
+    left = {name: _matching(df, all_gone[name], keys[name], "left_anti") if gone[name] else df for name, df in tables.items()}
+    blocked = {r: _referring(left[r.child], r, all_gone[r.parent]) for r in no_action}
+    return Cascade(left, {name: df.select(*keys[name]).distinct() for name, df in all_gone.items()}, blocked)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The rows from a table in the shared folder. (A checkpoint would hand the filters of all rounds on to the next one's plan.)"""
+    path = scratch_path(df.sparkSession, "cascade")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _appended(parts: list[tuple[int, DataFrame]], new: DataFrame) -> list[tuple[int, DataFrame]]:
+    """Parts with one more. Two of the same age become one, so n rounds leave log(n) parts and write a row log(n) times."""
+    parts = [*parts, (0, new)]
+    while len(parts) > 1 and parts[-1][0] == parts[-2][0]:
+        (age, a), (_, b) = parts[-2:]
+        parts = [*parts[:-2], (age + 1, _written(a.unionByName(b)))]
+    return parts
+
+
+def _matching(df: DataFrame, others: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on columns of the same names, null equal to null."""
+    held = [f"_other_{i}" for i in range(len(columns))]
+    values = others.select(*[F.col(c).alias(h) for c, h in zip(columns, held)]).distinct()
+    return df.join(values, reduce(and_, [F.col(c).eqNullSafe(F.col(h)) for c, h in zip(columns, held)]), how)
+
+
+def _referring(children: DataFrame, reference: Reference, parents: DataFrame) -> DataFrame:
+    held = [f"_parent_{i}" for i in range(len(reference.columns))]
+    values = parents.select(*[F.col(c).alias(h) for c, h in zip(reference.parent_columns, held)]).dropna().distinct()
+    return children.join(values, reduce(and_, [F.col(c) == F.col(h) for c, h in zip(reference.columns, held)]), "left_semi")

@@ -194,6 +194,64 @@ def dq_cascade(t: Inputs):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+# People with a sponsor among them and an order that brought them in; both references close circles.
+PEOPLE = """people AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 4 > 0 THEN c_custkey // 3 END AS sponsor, CASE WHEN c_custkey % 5 = 0 THEN c_custkey * 7 END AS origin FROM customer)"""
+
+GONE = f"""{PEOPLE},
+links AS (
+  SELECT 'customer' AS parent, o_custkey AS parent_key, 'orders' AS child, o_orderkey AS child_key FROM orders
+  UNION ALL SELECT 'customer', sponsor, 'customer', c_custkey FROM people
+  UNION ALL SELECT 'orders', origin, 'customer', c_custkey FROM people),
+gone AS (
+  SELECT 'customer' AS table_name, c_custkey AS key FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 3
+  UNION SELECT child, child_key FROM gone JOIN links ON table_name = parent AND key = parent_key)"""
+
+
+def deleted(t: Inputs) -> q.Cascade:
+    """Some customers go, with those they sponsor, their orders, and the customers whom these brought in."""
+    key = F.col("c_custkey")
+    people = t.customer.withColumns({
+        "sponsor": F.when(key % 4 > 0, F.floor(key / 3)), "origin": F.when(key % 5 == 0, key * 7)})
+    references = [
+        q.Reference("orders", ("o_custkey",), "customer", ("c_custkey",)),
+        q.Reference("customer", ("sponsor",), "customer", ("c_custkey",)),
+        q.Reference("customer", ("origin",), "orders", ("o_orderkey",)),
+        q.Reference("lineitem", ("l_orderkey",), "orders", ("o_orderkey",)),
+    ]
+    return q.cascade_graph(
+        {"customer": people, "orders": t.orders, "lineitem": t.lineitem},
+        {"customer": ["c_custkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]},
+        references, {"customer": people.where("c_mktsegment = 'BUILDING' AND c_nationkey = 3")},
+        [q.Reference("lineitem", ("l_suppkey",), "customer", ("c_custkey",))],
+    )
+
+
+@query("dq_cascade_graph", f"""
+WITH RECURSIVE {GONE}
+SELECT table_name, key, CAST(NULL AS INTEGER) AS part FROM gone
+UNION ALL SELECT DISTINCT 'lineitem', l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT key FROM gone WHERE table_name = 'orders')""")
+def dq_cascade_graph(t: Inputs):
+    """The keys of all rows that go (a key that repeats once), over a table that refers to itself and a circle of two tables."""
+    gone = deleted(t).gone
+    none = F.lit(None).cast("int").alias("part")
+    return (
+        gone["customer"].select(F.lit("customer").alias("table_name"), F.col("c_custkey").alias("key"), none)
+        .unionByName(gone["orders"].select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("key"), none))
+        .unionByName(gone["lineitem"].select(F.lit("lineitem").alias("table_name"), F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("part")))
+    )
+
+
+@query("dq_cascade_blocked", f"""
+WITH RECURSIVE {GONE}
+SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_suppkey IN (SELECT key FROM gone WHERE table_name = 'customer')
+  AND l_orderkey NOT IN (SELECT key FROM gone WHERE table_name = 'orders')""")
+def dq_cascade_blocked(t: Inputs):
+    """Lines that stay and name a customer who goes (as a supplier), where that reference allows no delete."""
+    (lines,) = deleted(t).blocked.values()
+    return lines.select("l_orderkey", "l_linenumber", "l_suppkey")
+
+
 @query("dq_blocked_deletes", """
 SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_custkey IN (SELECT o_custkey FROM orders)""")
 def dq_blocked_deletes(t: Inputs):
