@@ -253,7 +253,7 @@ def cascade_graph(
 
 
 def _written(df: DataFrame) -> DataFrame:
-    """The rows from a table in the shared folder. (A checkpoint would hand the filters of all rounds on to the next one's plan.)"""
+    """The rows, read from a table in the shared folder, so that a round's plan starts anew."""
     path = scratch_path(df.sparkSession, "cascade")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
