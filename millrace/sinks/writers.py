@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import Suite
 from ..sources.readers import EmptyTable
+from .commits import commit, committed, content
 
 # Tables with these prefixes belong to the warehouse layer.
 WAREHOUSE_PREFIXES = ("dim_", "fct_", "bridge_")
@@ -88,40 +89,61 @@ def load_warehouse(
     """Replace the warehouse tables, all or none.
 
     The tables are written below a new version of the folder, `checks` (a suite made from the
-    written tables, by their warehouse names) run on them, and only then one row is added to the
-    list of published versions. Readers (`published_table`) see the old tables until that row is
-    there, and go on seeing them if a table or a check fails. One load runs at a time.
+    written tables, by their warehouse names) run on them, and only then the version is committed
+    under the number after the one that was newest at the start. Readers (`published_table`) see
+    the old tables until then, and go on seeing them if a table or a check fails. Of two loads that
+    start from the same version the second raises `Conflict` and publishes nothing.
     """
     names = {warehouse_name(n, facts): df for n, df in tables.items()}
     spark = next(iter(names.values())).sparkSession
+    number = max(committed(spark, f"{location}/published"), default=0) + 1
     version = uuid.uuid4().hex
     home = f"{location}/versions/{version}"
     for name, df in names.items():
         write_table(df, home, name, "errorifexists")
     if checks is not None and not checks({n: spark.read.parquet(f"{home}/{n}") for n in names}).passed():
         raise CheckFailed("the checks of the written tables did not pass; nothing was published")
-    number = max((r["number"] for r in _published(spark, location)), default=0) + 1
-    row = spark.createDataFrame([(number, version)], "number bigint, version string")
-    row.coalesce(1).write.mode("append").parquet(f"{location}/published")
+    commit(spark, f"{location}/published", number, version)
     return list(names)
 
 
-def _published(spark: SparkSession, location: str) -> list:
-    """The published versions: one short row for each load."""
-    try:
-        return spark.read.schema("number bigint, version string").parquet(f"{location}/published").collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
+def published_table(spark: SparkSession, location: str, name: str, number: int | None = None) -> DataFrame:
+    """A table of the version published last, or of an earlier number that was kept.
 
-
-def published_table(spark: SparkSession, location: str, name: str) -> DataFrame:
-    """A table of the version published last."""
-    versions = _published(spark, location)
-    if not versions:
+    A reader that takes several tables passes one number for all of them, so that they belong together.
+    """
+    numbers = committed(spark, f"{location}/published")
+    if not numbers:
         raise ValueError(f"nothing is published in {location}")
-    return spark.read.parquet(f"{location}/versions/{max(versions)['version']}/{name}")
+    version = content(spark, f"{location}/published", numbers[-1] if number is None else number)
+    return spark.read.parquet(f"{location}/versions/{version}/{name}")
+
+
+def drop_old_versions(spark: SparkSession, location: str, keep: int = 2, unpublished_hours: float = 24.0) -> list[str]:
+    """Delete the tables of versions that no reader needs; the names of the versions deleted.
+
+    The last `keep` published versions stay. A version that was never published may belong to a load
+    that still runs, so it goes only when nothing was added to it for `unpublished_hours`. The numbers
+    stay taken.
+    """
+    if keep < 1:
+        raise ValueError("the newest version stays")
+    numbers = committed(spark, f"{location}/published")
+    known = {content(spark, f"{location}/published", n): n for n in numbers}
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/versions")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    oldest = (time.time() - unpublished_hours * 3600) * 1000
+    dropped = []
+    for status in system.listStatus(path) if system.exists(path) else []:
+        name = status.getPath().getName()
+        if name in known:
+            idle = known[name] not in numbers[-keep:]
+        else:
+            written = [s.getModificationTime() for s in system.listStatus(status.getPath())]
+            idle = max([status.getModificationTime(), *written]) < oldest
+        if idle and system.delete(status.getPath(), True):
+            dropped.append(name)
+    return sorted(dropped)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
