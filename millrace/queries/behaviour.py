@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_age, month_start, week_start
 from ..functions.numbers import exact, exact_mean, exact_sum, yes_flag
-from ..operators import aggregates as agg
+from ..operators import aggregates as agg, textindex
 from ..operators.lookups import left_lookup
 from ..operators.quantiles import describe, describe_by, exact_quantiles
 from ..operators.search import keyword_scores
 from ..operators.shape import top_rows
 from ..operators.windows import previous_date
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .base import Inputs, query
 
 MEAN = "CAST(sum(CAST({0} AS DECIMAL(18, 2))) AS DOUBLE) / count({0})"
@@ -268,6 +268,24 @@ def text_search_top(t: Inputs):
     return top_rows(scored, 10, F.desc("score"), F.col("doc_id"))
 
 
+@query("indexed_search", r"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents),
+c AS (SELECT doc_id, term, count(*) AS n FROM w GROUP BY ALL),
+r AS (SELECT term, CAST(round((ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) + 1) * 1000000) AS BIGINT) AS weight FROM c GROUP BY 1),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(n * weight) AS points, count(*) AS matched FROM q JOIN c USING (term) JOIN r USING (term) GROUP BY ALL)
+SELECT item_id, doc_id, CAST(points AS DOUBLE) / 1000000 AS score, matched, CAST(place AS INTEGER) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY points DESC, doc_id) AS place FROM s) WHERE place <= 10""")
+def indexed_search(t: Inputs):
+    """The ten best documents for the words of every benchmark item, from an index of two segments."""
+    target = scratch_path(t.spark, "index")
+    docs = t.documents.select("doc_id", "text", F.coalesce(F.col("lang") == "en", F.lit(False)).alias("english"))
+    for segment in (docs.where("english"), docs.where("NOT english")):
+        textindex.add(target, segment, "doc_id", "text")
+    found = textindex.search(t.spark, target, t.benchmark, "item_id", "text", 10)
+    return found.select(F.col("query").alias("item_id"), F.col("doc").alias("doc_id"), "score", "matched", "place")
+
+
 @query("weekly_orders", f"""
 SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week, count(*) AS orders, sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END)::BIGINT AS urgent,
   {MEAN.format("o_totalprice")} AS mean_price FROM orders GROUP BY 1""")
