@@ -18,6 +18,7 @@ Scores are whole millionths, so that no order of summing changes them.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,18 +42,21 @@ def words(text: str | Column) -> Column:
     return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)")), F.array().cast("array<string>"))
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An array that is made once per row, however often `use` names it."""
+    return F.flatten(F.transform(F.array(value), use))
+
+
 def word_counts(text: str | Column) -> Column:
     """Array of (term, count), by term: counted within the row, without a shuffle."""
-    ordered = F.array_sort(words(text))
-    begins = lambda a: F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: (i == 0) | (a[i] != a[F.greatest(i - 1, F.lit(0))]))
 
     def runs(a: Column) -> Column:
-        at = begins(a)
-        return F.transform(at, lambda p, j: F.struct(
-            a[p].alias("term"), (F.coalesce(F.get(at, j + 1), F.size(a)) - p).cast("long").alias("count")))
+        places = F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
+        begins = F.filter(places, lambda i: (i == 0) | (a[i] != a[F.greatest(i - 1, F.lit(0))]))
+        return _bind(begins, lambda at: F.transform(at, lambda p, j: F.struct(
+            a[p].alias("term"), (F.coalesce(F.get(at, j + 1), F.size(a)) - p).cast("long").alias("count"))))
 
-    # One lambda each, so that the sorted words and their beginnings are made once per row.
-    return F.flatten(F.transform(F.array(ordered), lambda a: F.when(F.size(a) > 0, runs(a)).otherwise(F.array().cast("array<struct<term:string,count:bigint>>"))))
+    return _bind(F.sort_array(words(text)), runs)
 
 
 def _bucket(term: str | Column) -> Column:
@@ -90,8 +94,9 @@ def add(target: str, docs: DataFrame, doc: str, text: str) -> int:
     found = placed.select("doc", "block", F.explode(word_counts("text")).alias("w")).select("doc", "block", "w.*")
     posted = found.groupBy("term", "block").agg(
         F.count("*").alias("n"), F.max("count").alias("best"), F.sort_array(F.collect_list(F.struct("doc", "count"))).alias("rows"))
-    posted = posted.withColumn("bucket", _bucket("term"))
-    # Terms are sorted, so that a file's parts can be left out by their smallest and largest term.
+    # Few files for each bucket, a large bucket split; terms are sorted, so that a file's parts can be
+    # left out by their smallest and largest term.
+    posted = posted.withColumn("bucket", _bucket("term")).hint("rebalance", "bucket")
     posted.sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(f"{home}/postings")
     total, compared = sum(sizes.values()), set()
     while True:
