@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import seeded_number
 
+_TASKS_PER_CORE = 4
+
 
 def pick_key(seed: int, first: int | Column, count: int | Column, *key: str | Column) -> Column:
     """A foreign key between `first` and `first + count - 1`."""
@@ -41,10 +43,12 @@ def children(
 def weekly_stock(products: DataFrame, spark: SparkSession, years: list[int], weeks: int = 52, seed: int = 0) -> DataFrame:
     """One row per product, year and week: stock, promotion flag and quantity sold.
 
-    `products` has product_id. `week_no` counts the weeks in calendar order.
+    `products` has product_id. `week_no` counts the weeks in calendar order. A small file of products makes
+    very many rows, so products are dealt to all cores before they multiply.
     """
     slots = F.sequence(F.lit(0), F.lit(len(years) * weeks - 1))
-    rows = products.select("product_id", F.explode(slots).alias("week_no"))
+    spread = products.select("product_id").repartition(_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    rows = spread.select("product_id", F.explode(slots).alias("week_no"))
     key = ("product_id", "week_no")
     promoted = F.pmod(seeded_number(seed, *key), F.lit(4)) == 0
     return rows.select(

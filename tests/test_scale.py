@@ -6,6 +6,7 @@ from conftest import rows
 from millrace.functions.keys import packed_hex, unpacked_hex
 from millrace.plans import dimensions as d
 from millrace.plans import facts as f
+from millrace.sources.generate import weekly_stock
 
 
 def optimized(df):
@@ -58,3 +59,10 @@ def test_an_investment_meets_its_round_before_it_becomes_two_events(spark):
     assert rows(made) == sorted([(key, labels["Received Funding"], "2020-01-05"), *[(key, labels["Made Investment"], "2020-01-05")] * 2])
     # One event a kind and office; the second investment has no round, and its investor is no one.
     assert fact.count() == 1 + 2 + 1 + 1 + 1 + 1 + 2 + 1 + 1
+
+
+def test_products_are_dealt_out_before_they_multiply(spark):
+    products = spark.range(3).select(F.col("id").alias("product_id")).coalesce(1)
+    stock = weekly_stock(products, spark, [2021])
+    assert stock.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert stock.count() == 3 * 52
