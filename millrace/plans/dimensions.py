@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import surrogate_key
+from ..functions.keys import packed_hex, surrogate_key, unpacked_hex
 from ..operators.lookups import attach_keys, left_lookup
 from ..operators.shape import add_row_hash, cast_columns, copy_columns, rename_select
 
@@ -30,7 +30,12 @@ class Dimension:
         return add_row_hash(cast_columns(copy_columns(df, self.natural), self.types), self.hashed, self.key)
 
 
-def hashed(df: DataFrame, key: str, columns: Sequence[str], *others: str) -> DataFrame:
+def _packed(dimension: DataFrame, key: str) -> DataFrame:
+    """The dimension with its key in the form that shuffles move."""
+    return dimension.withColumn(key, packed_hex(key))
+
+
+def hashed(df: DataFrame, key: str, columns: Sequence[str], *others: str | Column) -> DataFrame:
     """The hash key, other columns, and the columns the key is made of."""
     return add_row_hash(df, columns, key).select(key, *others, *columns)
 
@@ -112,10 +117,14 @@ RELATIONSHIP_HASHED = (
 
 
 def investments_dimension(investments: DataFrame, funding_rounds: DataFrame) -> DataFrame:
-    """Investments with the key of their funding round; the hash covers the natural keys only."""
-    keyed = hashed(copy_columns(investments, INVESTMENT_NAMES), "investments_id", list(INVESTMENT_NAMES.values()))
-    found = attach_keys(keyed, funding_rounds, {"funding_round_nk": "funding_rounds_id"})
-    return found.select("investments_id", "funding_rounds_id", *INVESTMENT_NAMES.values())
+    """Investments with the key of their funding round; the hash covers the natural keys only.
+
+    It is made after the join, so that the join moves the natural keys alone.
+    """
+    names = list(INVESTMENT_NAMES.values())
+    named = copy_columns(investments, INVESTMENT_NAMES).select(*names)
+    found = attach_keys(named, _packed(funding_rounds, "funding_rounds_id"), {"funding_round_nk": "funding_rounds_id"})
+    return hashed(found, "investments_id", names, unpacked_hex("funding_rounds_id").alias("funding_rounds_id"))
 
 
 def relationships_dimension(
@@ -127,9 +136,10 @@ def relationships_dimension(
     `one_office=True` takes one key per company.
     """
     named = cast_columns(copy_columns(relationships, RELATIONSHIP_NAMES), RELATIONSHIP_TYPES)
-    with_person = attach_keys(named, people, {"people_nk": "people_id"})
+    with_person = attach_keys(named, _packed(people, "people_id"), {"people_nk": "people_id"})
     with_company = attach_keys(with_person, company, {"object_nk": "company_id"}, dedupe=one_office)
-    return hashed(with_company, "relationships_id", RELATIONSHIP_HASHED)
+    read = with_company.withColumn("people_id", unpacked_hex("people_id"))
+    return hashed(read, "relationships_id", RELATIONSHIP_HASHED)
 
 
 def investment_dimensions(sources: Mapping[str, DataFrame], one_office: bool = False) -> dict[str, DataFrame]:

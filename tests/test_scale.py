@@ -61,6 +61,16 @@ def test_an_investment_meets_its_round_before_it_becomes_two_events(spark):
     assert fact.count() == 1 + 2 + 1 + 1 + 1 + 1 + 2 + 1 + 1
 
 
+def test_investments_are_hashed_after_their_join(spark):
+    sources = events(spark)
+    rounds = d.INVESTMENT_DIMENSIONS["funding_rounds"].build(sources["funding_rounds"])
+    found = d.investments_dimension(sources["investments"], rounds)
+    plan = optimized(found)
+    assert plan.index("AS investments_id") < plan.index("Join")
+    (key,) = [r[0] for r in rounds.select("funding_rounds_id").collect()]
+    assert rows(found, "investment_nk", "funding_rounds_id") == [(1, key), (2, None)]
+
+
 def test_products_are_dealt_out_before_they_multiply(spark):
     products = spark.range(3).select(F.col("id").alias("product_id")).coalesce(1)
     stock = weekly_stock(products, spark, [2021])
