@@ -180,11 +180,15 @@ def order_lines(
         {"nk_customer_address_status_id": "status_id", "dest_address_status": "dest_address_status"},
     )
     facts = facts.join(states, "nk_order_id", "left")
+    # Lines are narrow: they meet their book before they take the order's columns.
+    lines = left_lookup(
+        sources["order_line"].select("line_id", "order_id", "book_id", "price"), dim_book,
+        {"nk_book_id": "book_id"}, {"sk_book_id": "sk_book_id"},
+    )
     facts = left_lookup(
-        facts, sources["order_line"], {"order_id": "nk_order_id"},
-        {"nk_line_id": "line_id", "nk_book_id": "book_id", "order_line_price": "price"},
+        facts, lines, {"order_id": "nk_order_id"},
+        {"nk_line_id": "line_id", "nk_book_id": "book_id", "order_line_price": "price", "sk_book_id": "sk_book_id"},
     )
-    facts = left_lookup(facts, dim_book, {"nk_book_id": "nk_book_id"}, {"sk_book_id": "sk_book_id"})
     state_columns = [f"{stem}_{part}" for stem in ORDER_STATES.values() for part in ("date", "time")]
     return facts.select(
         surrogate_key("nk_line_id").alias("sk_line_id"),

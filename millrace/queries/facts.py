@@ -409,5 +409,6 @@ def order_mart_checks_query(t: Inputs):
     sources["book_author"] = t.lineitem.select(F.col("l_suppkey").alias("author_id"), F.col("l_partkey").alias("book_id")).distinct()
     mart = order_mart(sources, mart_date_dimension(days_of(t.orders, "o_orderdate")))
     home = scratch_path(t.spark, "mart")  # written once, read by all checks
-    written = {n: t.spark.read.parquet(f"{home}/{n}") for n in stage_tables(mart, home)}
+    staged = stage_tables(mart, home, options={"compression": "zstd"})
+    written = {n: t.spark.read.parquet(f"{home}/{n}") for n in staged}
     return order_mart_checks(written).report()

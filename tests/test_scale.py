@@ -71,6 +71,26 @@ def test_investments_are_hashed_after_their_join(spark):
     assert rows(found, "investment_nk", "funding_rounds_id") == [(1, key), (2, None)]
 
 
+def test_lines_meet_their_book_before_the_order(spark):
+    def table(columns):
+        return spark.createDataFrame([], columns)
+
+    sources = {
+        "cust_order": table("order_id long, order_date timestamp, customer_id long, shipping_method_id int, dest_address_id int"),
+        "order_history": table("order_id long, status_id int, status_date timestamp"),
+        "order_status": table("status_id int, status_value string"),
+        "customer_address": table("customer_id long, address_id int, status_id int"),
+        "address_status": table("status_id int, address_status string"),
+        "shipping_method": table("method_id int, method_name string, cost double"),
+        "order_line": table("line_id long, order_id long, book_id long, price double"),
+        "customer": table("customer_id long"), "address": table("address_id int"), "book": table("book_id long"),
+    }
+    plan = f.order_lines(sources, table("date_day date, sk_date_id string"), table("time_actual string, time_id int"))
+    analyzed = plan._jdf.queryExecution().analyzed().toString().split("\n")
+    last = next(line for line in analyzed if "Join" in line)
+    assert "nk_order_id" in last and "book" not in last
+
+
 def test_products_are_dealt_out_before_they_multiply(spark):
     products = spark.range(3).select(F.col("id").alias("product_id")).coalesce(1)
     stock = weekly_stock(products, spark, [2021])
