@@ -214,35 +214,47 @@ def cascade_graph(
 
     Tables may refer to themselves and to each other in a circle. `keys` names the columns that identify
     a row of each table (rows that share a key go together; a null is a value like others), `removed`
-    holds the keys to delete. Each round looks only for rows that refer to what the round before found,
-    as distinct values, and ends the job when there are none; so the rounds are as many as the longest
-    chain of references, and a parent of very many children adds one value to a semi join. A reference in
+    holds the keys to delete. Tables that form a circle are followed in rounds, parents before children; a
+    table in no circle is read once. Each round looks only for rows that refer to what the round before found,
+    as distinct values, and ends when there are none; so the rounds are as many as the longest
+    chain within a circle, and a parent of very many children adds one value to a semi join. A reference in
     `no_action` does not spread the delete: children that stay and refer to a row that goes are
     returned, and a caller who finds any has to give up the delete.
     """
     cited = {name: sorted({c for r in [*references, *no_action] if r.parent == name for c in r.parent_columns}) for name in tables}
     slim = {name: list(dict.fromkeys([*keys[name], *cited[name]])) for name in tables}
-    fresh = {}
-    for name, wanted in removed.items():
-        first = _matching(tables[name], wanted.select(*keys[name]), keys[name], "left_semi").select(*slim[name]).distinct()
-        fresh[name] = _written(first)
-    gone = {name: [(0, fresh[name])] if name in fresh else [] for name in tables}
-    while fresh:
+    gone: dict[str, list[tuple[int, DataFrame]]] = {name: [] for name in tables}
+
+    def found(inside: Sequence[Reference], parents: Mapping[str, DataFrame]) -> dict[str, list[DataFrame]]:
         hits: dict[str, list[DataFrame]] = {}
-        for r in references:
-            if r.parent in fresh:
-                hits.setdefault(r.child, []).append(_referring(tables[r.child], r, fresh[r.parent]).select(*slim[r.child]))
-        fresh = {}
-        for name, parts in hits.items():
-            new = reduce(DataFrame.unionByName, parts).distinct()
-            if gone[name]:
-                known = reduce(DataFrame.unionByName, [df for _, df in gone[name]])
-                new = _matching(new, known, keys[name], "left_anti")
-            new = _written(new)
-            if not new.isEmpty():
-                fresh[name] = new
-        for name, new in fresh.items():
-            gone[name] = _appended(gone[name], new)
+        for r in inside:
+            if r.parent in parents:
+                hits.setdefault(r.child, []).append(_referring(tables[r.child], r, parents[r.parent]).select(*slim[r.child]))
+        return hits
+
+    for circle in _circles(list(tables), references):
+        # Whatever the tables before spread to this circle is known in full, so it is looked up once.
+        above = {r.parent: reduce(DataFrame.unionByName, [df for _, df in gone[r.parent]])
+                 for r in references if r.child in circle and r.parent not in circle and gone[r.parent]}
+        hits = found([r for r in references if r.child in circle], above)
+        for name in circle:
+            if name in removed:
+                wanted = removed[name].select(*keys[name])
+                hits.setdefault(name, []).append(_matching(tables[name], wanted, keys[name], "left_semi").select(*slim[name]))
+        inside = [r for r in references if r.child in circle and r.parent in circle]
+        while hits:
+            fresh = {}
+            for name, parts in hits.items():
+                new = reduce(DataFrame.unionByName, parts).distinct()
+                if gone[name]:
+                    known = reduce(DataFrame.unionByName, [df for _, df in gone[name]])
+                    new = _matching(new, known, keys[name], "left_anti")
+                new = _written(new)
+                if not new.isEmpty():
+                    fresh[name] = new
+            for name, new in fresh.items():
+                gone[name] = _appended(gone[name], new)
+            hits = found(inside, fresh)
     all_gone = {
         name: reduce(DataFrame.unionByName, [df for _, df in parts], tables[name].select(*slim[name]).limit(0))
         for name, parts in gone.items()
@@ -252,6 +264,21 @@ def cascade_graph(
     return Cascade(left, {name: df.select(*keys[name]).distinct() for name, df in all_gone.items()}, blocked)
 
 
+def _circles(names: Sequence[str], references: Sequence[Reference]) -> list[list[str]]:
+    """The tables, those that refer to each other in a circle together, parents before children."""
+    below = {n: {n} for n in names}
+    for _ in names:
+        for r in references:
+            for reached in below.values():
+                if r.parent in reached:
+                    reached.add(r.child)
+    # What reaches more tables comes first; tables of one circle reach the same ones.
+    circles: dict[frozenset[str], list[str]] = {}
+    for n in sorted(names, key=lambda n: -len(below[n])):
+        circles.setdefault(frozenset(below[n]), []).append(n)
+    return list(circles.values())
+
+
 def _written(df: DataFrame) -> DataFrame:
     """The rows, read from a table in the shared folder, so that a round's plan starts anew."""
     path = scratch_path(df.sparkSession, "cascade")

@@ -1,9 +1,12 @@
 """How much the large jobs move and how often they read a table."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.functions.keys import packed_hex, unpacked_hex
+from millrace.operators import quality as q
 from millrace.plans import dimensions as d
 from millrace.plans import facts as f
 from millrace.sources.generate import weekly_stock
@@ -96,3 +99,35 @@ def test_products_are_dealt_out_before_they_multiply(spark):
     stock = weekly_stock(products, spark, [2021])
     assert stock.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert stock.count() == 3 * 52
+
+
+def test_a_table_outside_every_circle_is_read_once(spark, monkeypatch):
+    read, referring = Counter(), q._referring
+
+    def counted(children, reference, parents):
+        read[reference.child] += 1
+        return referring(children, reference, parents)
+
+    monkeypatch.setattr(q, "_referring", counted)
+    people = spark.createDataFrame([(i, i - 1) for i in range(1, 7)], "id int, boss int")
+    notes = spark.createDataFrame([(i * 10, i) for i in range(1, 7)], "note int, person int")
+    marks = spark.createDataFrame([(i, i * 10) for i in range(1, 7)], "mark int, note int")
+    done = q.cascade_graph(
+        {"marks": marks, "notes": notes, "people": people}, {"people": ["id"], "notes": ["note"], "marks": ["mark"]},
+        [q.Reference("marks", ("note",), "notes", ("note",)), q.Reference("people", ("boss",), "people", ("id",)),
+         q.Reference("notes", ("person",), "people", ("id",))],
+        {"people": people.where("id = 3").select("id"), "notes": notes.where("note = 10").select("note")},
+    )
+    assert rows(done.gone["people"]) == [(3,), (4,), (5,), (6,)]
+    assert rows(done.gone["notes"]) == [(10,), (30,), (40,), (50,), (60,)]
+    assert rows(done.left["marks"], "mark") == [(2,)]
+    assert read["notes"] == 1 and read["marks"] == 1
+
+
+def test_circles_come_parents_first():
+    def ref(child, parent):
+        return q.Reference(child, ("x",), parent, ("y",))
+
+    graph = [ref("c", "b"), ref("b", "a"), ref("a", "b"), ref("d", "c"), ref("a", "top")]
+    found = q._circles(["d", "c", "b", "a", "top", "alone"], graph)
+    assert [sorted(c) for c in found if c != ["alone"]] == [["top"], ["a", "b"], ["c"], ["d"]]
