@@ -6,8 +6,8 @@ Documents are added in segments; a segment is committed when it is complete and
     target/segments/<name>/docs                  doc, block
     target/log/<number>                          the segment's name and number of documents
 
-Documents of a segment lie in blocks: of nearly the same length, then by hash, some `BLOCK` in each. A
-posting row holds one term in one block, so even a word of all documents never fills a task, and `best`,
+Documents of a segment lie in blocks: of nearly the same length, then by hash, some `BLOCK` in each, fewer
+where texts are very long. A posting row holds one term in one block, so even a word of all documents never fills a task, and `best`,
 its highest count there, bounds what the block can add to a score. A search reads the bounds of its words'
 buckets, scores the k most promising blocks of every query, and then all others whose bound reaches
 the k-th score found, ties included. The results are exact.
@@ -28,6 +28,7 @@ from ..sinks.commits import Conflict, commit, committed, content
 
 BUCKETS = 64
 BLOCK = 512
+_TASK_CHARS = 1 << 24
 _UNIT = 1_000_000
 _BANDS_PER_DOUBLING = 4
 
@@ -69,6 +70,13 @@ def segments(spark: SparkSession, target: str) -> dict[str, int]:
     return {name: int(held) for name, held in (line.split() for line in lines)}
 
 
+def _posted(placed: DataFrame, tasks: int) -> DataFrame:
+    """One row per term and block. A block's texts go to one task: they are smaller than their words with counts."""
+    found = placed.repartition(tasks, "block").select("doc", "block", F.explode(word_counts("text")).alias("w"))
+    return found.select("doc", "block", "w.*").groupBy("term", "block").agg(
+        F.count("*").alias("n"), F.max("count").alias("best"), F.sort_array(F.collect_list(F.struct("doc", "count"))).alias("rows"))
+
+
 def add(target: str, docs: DataFrame, doc: str, text: str) -> int:
     """Add documents as a new segment; how many there are. Earlier segments are not read but for their ids.
 
@@ -82,18 +90,17 @@ def add(target: str, docs: DataFrame, doc: str, text: str) -> int:
     rows = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
     band = F.floor(F.log2(F.coalesce(F.length("text"), F.lit(0)) + 1.0) * _BANDS_PER_DOUBLING).cast("long")
     # At most four bands for each doubling of a text's length.
-    sizes = {r["band"]: r["n"] for r in rows.groupBy(band.alias("band")).agg(F.count("*").alias("n")).collect()}
+    seen = rows.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()
+    sizes, chars = {r["band"]: r["n"] for r in seen}, {r["band"]: r["chars"] or 0 for r in seen}
     parts = F.lit(1)
     for number, held in sizes.items():
-        parts = F.when(band == number, -(-held // BLOCK)).otherwise(parts)
+        parts = F.when(band == number, max(-(-held // BLOCK), -(-chars[number] // _TASK_CHARS))).otherwise(parts)
     placed = rows.withColumn("block", F.shiftleft(band, 40) + F.pmod(F.xxhash64("doc"), parts.cast("long")))
     placed.select("doc", "block").write.parquet(f"{home}/docs")
     fresh = spark.read.parquet(f"{home}/docs")
     if not fresh.groupBy("doc").count().where("doc IS NULL OR count > 1").isEmpty():
         raise RepeatedDocument(f"{doc} holds nulls or repeated values")
-    found = placed.select("doc", "block", F.explode(word_counts("text")).alias("w")).select("doc", "block", "w.*")
-    posted = found.groupBy("term", "block").agg(
-        F.count("*").alias("n"), F.max("count").alias("best"), F.sort_array(F.collect_list(F.struct("doc", "count"))).alias("rows"))
+    posted = _posted(placed, max(spark.sparkContext.defaultParallelism, -(-sum(chars.values()) // _TASK_CHARS)))
     # Few files for each bucket, a large bucket split; terms are sorted, so that a file's parts can be
     # left out by their smallest and largest term.
     posted = posted.withColumn("bucket", _bucket("term")).hint("rebalance", "bucket")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace.functions.keys import packed_hex, unpacked_hex
 from millrace.operators import quality as q
+from millrace.operators import textindex
 from millrace.plans import dimensions as d
 from millrace.plans import facts as f
 from millrace.sources.generate import weekly_stock
@@ -131,3 +132,22 @@ def test_circles_come_parents_first():
     graph = [ref("c", "b"), ref("b", "a"), ref("a", "b"), ref("d", "c"), ref("a", "top")]
     found = q._circles(["d", "c", "b", "a", "top", "alone"], graph)
     assert [sorted(c) for c in found if c != ["alone"]] == [["top"], ["a", "b"], ["c"], ["d"]]
+
+
+def test_postings_move_texts_and_not_their_words(spark):
+    placed = spark.createDataFrame([(1, "a b a", 0)], "doc long, text string, block long")
+    plan = textindex._posted(placed, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(block" in plan and "hashpartitioning(term" not in plan
+
+
+def test_long_texts_make_smaller_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(textindex, "_TASK_CHARS", 200)
+    target = str(tmp_path / "index")
+    docs = spark.createDataFrame([(i, "word " * 30 + f"only{i}") for i in range(20)], "doc long, text string")
+    assert textindex.add(target, docs, "doc", "text") == 20
+    (segment,) = textindex.segments(spark, target)
+    blocks = spark.read.parquet(f"{target}/segments/{segment}/docs").select("block").distinct().count()
+    assert blocks > 3
+    asked = spark.createDataFrame([(1, "only7"), (2, "word")], "id int, text string")
+    found = textindex.search(spark, target, asked, "id", "text", 2)
+    assert rows(found, "query", "doc", "place") == [(1, 7, 1), (2, 0, 1), (2, 1, 2)]
