@@ -6,10 +6,11 @@ reach the wanted similarity miss few of each other's tokens, so a prefix longer
 holds a common token.
 
 Tokens that few sets have in their prefix are rare, and sets that share one are paired. Frequent tokens
+are signatures themselves as long as their sets make one block. Those of more sets
 are indexed in combinations of two: they are dealt to P classes by hash, and every two of one class
 make a signature. A set's prefix has P tokens more than a prefix of single tokens would need. However
 many tokens of a class are missing in the other set, the first survivor makes no signature and every
-further one does, so P tokens more make up for it. Pairs that rely on combinations have a set
+further one does, so P tokens more make up for it. Pairs that rely on signatures have a set
 with so many frequent tokens that its rare ones do not suffice (a dense set): only signatures
 with a dense set are followed.
 
@@ -17,7 +18,10 @@ What is compared, and where. Pairs by rare tokens are first held against the num
 share in their prefixes, then grouped by the signature that covers most pairs, so that a
 text travels few times. Dense sets come from large families of near copies, whose pairs are never
 listed: all pairs with one of their first tokens in common are compared inside tasks, block by block,
-and only links that join something leave a task. Pairs of dense sets without such a token follow from the signatures.
+and only links that join something leave a task. What these links join needs no further pair. Pairs of dense sets
+without such a token follow from the signatures. Rows of signatures carry a sketch of their set, one bit for the
+parity of the tokens of each slot: where two sketches differ, a token is in one of the sets only. So
+pairs whose sketches differ in more bits than similar sets may have such tokens are left out before they are listed.
 """
 
 from __future__ import annotations
@@ -40,11 +44,15 @@ LEAST = 85
 # A token in more prefixes than this is frequent.
 RARE = 48
 # First tokens by which dense sets meet.
-KEYS = 8
+KEYS = 3
 # Sets in a block of dense sets, and their tokens.
-BLOCK_SETS, BLOCK_TOKENS = 1024, 400_000
-# Rows in a block of a signature, where only numbers are compared.
-BLOCK_ROWS = 1024
+BLOCK_SETS, BLOCK_TOKENS = 1024, 800_000
+# Rows in a block of a signature, where only numbers and sketches are compared.
+BLOCK_ROWS = 4096
+# Bits of a sketch at least.
+SKETCH_BITS = 512
+# Pairs whose sketches are compared at once.
+_PAIRS_AT_ONCE = 1 << 17
 # Pairs compared in one unit of work.
 UNIT_PAIRS = 256
 # Bits that mark which documents have to be read again. More marked documents than fit only mean more reading.
@@ -116,6 +124,10 @@ class Shape:
                     out.append(mix(mix(t[a:b][i] + _U(classes)) + t[a:b][j]))
         return np.unique(np.concatenate(out)) if out else np.zeros(0, dtype=_U)
 
+    def grade_width(self) -> float:
+        """Similar sets differ by less in the logarithms of their numbers of tokens."""
+        return 1.01 * np.log(100 / min(self.least, 99))
+
     def alike(self, common, a, b):
         """Whether sets of a and b tokens with so many in common are similar enough."""
         return 100 * common >= self.least * (a + b - common)
@@ -125,6 +137,41 @@ class Shape:
         return -(-self.least * (a + b) // (100 + self.least))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity of the number of tokens in each slot, with a slot for two tokens or more."""
+    bits = max(SKETCH_BITS, 1 << (len(tokens) // 2).bit_length())
+    slots = np.bincount((mix(tokens) % _U(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(slots.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Sketches:
+    """Sketches of several lengths. Of two lengths, the longer sketch is folded."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.sketches, self.rows = sketches, {}
+        self.length = np.array([len(x) for x in sketches], dtype=np.int64)
+
+    def folded(self, size: int) -> np.ndarray:
+        """The sketches of at least so many bytes, folded to it."""
+        if size not in self.rows:
+            out = self.rows[size] = np.zeros((len(self.sketches), size // 8), dtype=_U)
+            for of in np.unique(self.length[self.length >= size]).tolist():
+                at = np.flatnonzero(self.length == of)
+                words = np.frombuffer(b"".join([self.sketches[i] for i in at.tolist()]), dtype=_U)
+                out[at] = np.bitwise_xor.reduce(words.reshape(len(at), -1, size // 8), axis=1)
+        return self.rows[size]
+
+    def differences(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For pairs of positions: no more than the number of tokens that are in one of both sets only."""
+        out, shorter = np.zeros(len(a), dtype=np.int64), np.minimum(self.length[a], self.length[b])
+        for size in np.unique(shorter).tolist():
+            rows, here = self.folded(size), np.flatnonzero(shorter == size)
+            for k in range(0, len(here), _PAIRS_AT_ONCE):
+                part = here[k : k + _PAIRS_AT_ONCE]
+                out[part] = np.bitwise_count(rows[a[part]] ^ rows[b[part]]).sum(axis=1)
+        return out
+
+
 def _identity(tokens: np.ndarray) -> tuple[int, int]:
     digest = np.frombuffer(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), dtype=np.int64)
     return int(digest[0]), int(digest[1])
@@ -138,13 +185,13 @@ def _written(df: DataFrame, label: str) -> DataFrame:
 
 
 def _rows(docs: DataFrame, words: int, shape: Shape, with_prefix: bool) -> DataFrame:
-    """id, n, f1, f2 (and the prefix) of every document."""
+    """id, n, f1, f2 (and the prefix and the sketch) of every document."""
     id_type = docs.schema["id"].dataType.simpleString()
-    names = ["id", "n", "f1", "f2", *["prefix"] * with_prefix]
+    names = ["id", "n", "f1", "f2", *["prefix", "sketch"] * with_prefix]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, one, two, prefixes = [], [], [], []
+            sizes, one, two, prefixes, sketches = [], [], [], [], []
             for run in runs(column(batch, "text")):
                 for tokens in shingle_sets(run, words):
                     a, b = _identity(tokens)
@@ -153,10 +200,12 @@ def _rows(docs: DataFrame, words: int, shape: Shape, with_prefix: bool) -> DataF
                     two.append(b)
                     if with_prefix:
                         prefixes.append(tokens[: shape.prefix(len(tokens))].tobytes())
+                        sketches.append(sketch(tokens))
             arrays = [column(batch, "id"), *[pa.array(x, pa.int64()) for x in (sizes, one, two)]]
-            yield pa.RecordBatch.from_arrays([*arrays, *[pa.array(prefixes, pa.binary())] * with_prefix], names=names)
+            more = [pa.array(x, pa.binary()) for x in (prefixes, sketches) if with_prefix]
+            yield pa.RecordBatch.from_arrays([*arrays, *more], names=names)
 
-    return docs.select("id", "text").mapInArrow(work, f"id {id_type}, n bigint, f1 bigint, f2 bigint" + ", prefix binary" * with_prefix)
+    return docs.select("id", "text").mapInArrow(work, f"id {id_type}, n bigint, f1 bigint, f2 bigint" + ", prefix binary, sketch binary" * with_prefix)
 
 
 def _postings(sets: DataFrame, shape: Shape) -> DataFrame:
@@ -180,8 +229,8 @@ def _postings(sets: DataFrame, shape: Shape) -> DataFrame:
 
 
 def _listed_pairs(groups: DataFrame, shape: Shape) -> DataFrame:
-    """All pairs of groups (sig, df, members) of few sets: a, b, na, nb, sig, df. A member has sid, n, dense and keys or only
-    sid and n. With `dense`, one of a pair has to be dense, and two dense ones must have no key in common."""
+    """All pairs of groups (sig, df, members) of few sets: a, b, na, nb, sig, df. A member has sid, n and what `_Members` has
+    or only sid and n."""
     choosy = "keys" in groups.select(F.explode("members").alias("m")).select("m.*").columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +240,7 @@ def _listed_pairs(groups: DataFrame, shape: Shape) -> DataFrame:
             starts, size = ends[:-1] - ends[0], np.diff(ends)
             sid, n = flat.field("sid").to_numpy(), flat.field("n").to_numpy()
             sig, df = column(batch, "sig").to_numpy(), column(batch, "df").to_numpy()
-            dense = flat.field("dense").to_numpy(zero_copy_only=False) if choosy else None
-            keys = _keys(flat.field("keys")) if choosy else None
+            of_sets = _Members(n, *[flat.field(c) for c in _Members.FACTS]) if choosy else None
             for g in np.unique(size):
                 i, j = np.triu_indices(int(g), 1)
                 for at in np.array_split(np.flatnonzero(size == g), max(1, int((size == g).sum() * len(i) >> 20))):
@@ -201,7 +249,7 @@ def _listed_pairs(groups: DataFrame, shape: Shape) -> DataFrame:
                     fits = 100 * np.minimum(n[a], n[b]) >= shape.least * np.maximum(n[a], n[b])
                     a, b, of = a[fits], b[fits], of[fits]
                     if choosy:
-                        fits = _open(dense, keys, a, b)
+                        fits = of_sets.open(shape, a, b)
                         a, b, of = a[fits], b[fits], of[fits]
                     if len(a):
                         yield _pair_rows(sid, n, a, b, sig[of], df[of])
@@ -222,33 +270,34 @@ def _keys(column_: pa.Array) -> np.ndarray:
     """First tokens of sets, filled up with values that differ from row to row."""
     out = np.empty((len(column_), KEYS), dtype=np.int64)
     out[:] = -1 - np.arange(out.size).reshape(out.shape)
-    for row, raw in zip(out, column_.to_pylist()):
-        found = np.frombuffer(raw, dtype=np.int64)
-        row[: len(found)] = found
+    raw = column_.to_pylist()
+    given = np.array([len(x) // 8 for x in raw], dtype=np.int64)
+    out[np.arange(KEYS) < given[:, None]] = np.frombuffer(b"".join(raw), dtype=np.int64)
     return out
 
 
-def _open(dense: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairs with a dense set that do not meet by their first tokens anyway."""
-    met = np.zeros(len(a), dtype=bool)
-    for k in range(KEYS):
-        met |= (keys[a, k][:, None] == keys[b]).any(axis=1)
-    return (dense[a] | dense[b]) & ~(met & dense[a] & dense[b])
-
-
-def _met(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Whether sets of the left and of the right have a key in common, through the incidence of the keys."""
-    _, place, count = np.unique(keys.ravel(), return_inverse=True, return_counts=True)
-    often = count[place] > 1
-    owner = np.repeat(np.arange(len(keys)), KEYS)[often]
-    _, place = np.unique(place[often], return_inverse=True)
-    out = np.zeros((len(left), len(right)), dtype=bool)
-    for a in range(0, int(place.max(initial=-1)) + 1, 1024):
-        here = (place >= a) & (place < a + 1024)
-        part = np.zeros((len(keys), 1024), dtype=np.float32)
-        part[owner[here], place[here] - a] = 1
-        out |= part[left] @ part[right].T > 0
-    return out
+class _Members:
+    """What rows of signatures say of their sets, given by the columns n and FACTS."""
+
+    FACTS = ["dense", "part", "keys", "sketch"]
+
+    def __init__(self, n: np.ndarray, dense: pa.Array, part: pa.Array, keys: pa.Array, sketches: pa.Array):
+        self.n, self.dense, self.part = n, dense.to_numpy(zero_copy_only=False), part.to_numpy()
+        self.keys, self.sketches = _keys(keys), Sketches(sketches.to_pylist())
+
+    def open(self, shape: Shape, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Pairs with a dense set that no links join yet, that may be similar by their sketches and are not
+        two dense ones that meet by their first tokens."""
+        out = (self.dense[a] | self.dense[b]) & (self.part[a] != self.part[b])
+        at = np.flatnonzero(out)
+        x, y = a[at], b[at]
+        fits = self.sketches.differences(x, y) <= self.n[x] + self.n[y] - 2 * shape.overlap(self.n[x], self.n[y])
+        out[at[~fits]] = False
+        at = at[fits]
+        at = at[self.dense[a[at]] & self.dense[b[at]]]
+        for k in range(KEYS):
+            out[at[(self.keys[a[at], k][:, None] == self.keys[b[at]]).any(axis=1)]] = False
+        return out
 
 
 def _blocks(rows: DataFrame, key: str, block, blocks) -> DataFrame:
@@ -257,48 +306,58 @@ def _blocks(rows: DataFrame, key: str, block, blocks) -> DataFrame:
     return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
 
 
-def _signature_pairs(dense_rows: DataFrame, shape: Shape) -> DataFrame:
-    """Pairs that share a signature and have a dense set, from rows (sid, n, dense, keys, tokens)."""
+def _signature_pairs(frequent: DataFrame, shape: Shape) -> DataFrame:
+    """Pairs that share a signature and have a dense set, from rows (sid, n, dense, part, keys, sketch, tokens, often)."""
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = column(batch, "n").to_pylist()
-            found = [
-                shape.signatures(n, np.array(t, dtype=np.int64).view(_U)).view(np.int64)
-                for n, t in zip(sizes, column(batch, "tokens").to_pylist())
-            ]
+            found = []
+            for n, tokens, often in zip(*[column(batch, c).to_pylist() for c in ("n", "tokens", "often")]):
+                combined = shape.signatures(n, np.array(often, dtype=np.int64).view(_U)).view(np.int64)
+                found.append(np.concatenate([np.array(list(set(tokens).difference(often)), dtype=np.int64), combined]))
             times = np.array([len(f) for f in found], dtype=np.int64)
             at = pa.array(np.repeat(np.arange(len(found)), times))
             if not len(at):
                 continue
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found)), *[column(batch, c).take(at) for c in ("sid", "n", "dense", "keys")]],
-                names=["sig", "sid", "n", "dense", "keys"],
+                [pa.array(np.concatenate(found)), *[column(batch, c).take(at) for c in ("sid", "n", *_Members.FACTS)]],
+                names=["sig", "sid", "n", *_Members.FACTS],
             )
 
-    rows = dense_rows.where("size(tokens) > 1").select("sid", "n", "dense", "keys", "tokens")
-    rows = rows.mapInArrow(signatures, "sig bigint, sid bigint, n bigint, dense boolean, keys binary")
-    live = rows.groupBy("sig").agg(F.count("*").alias("df"), F.sum(F.col("dense").cast("int")).alias("d")).where("df > 1 AND d > 0")
-    rows = _written(rows.join(live.select("sig", "df"), "sig"), "signatures")
-    few = rows.where(f"df <= {RARE}").groupBy("sig", "df").agg(F.collect_list(F.struct("sid", "n", "dense", "keys")).alias("members"))
+    rows = frequent.select("sid", "n", *_Members.FACTS, "tokens", "often")
+    rows = rows.mapInArrow(signatures, "sig bigint, sid bigint, n bigint, dense boolean, part bigint, keys binary, sketch binary")
+    # Similar sets are of the same or of neighbouring grades. Rows without a dense set near their grade are left out.
+    rows = rows.withColumn("grade", F.floor(F.ln("n") / shape.grade_width()))
+    grades = rows.groupBy("sig", "grade").agg(F.count("*").alias("of_grade"), F.max("dense").alias("dense"))
+    near = grades.where("dense").select("sig", F.explode(F.array(*[F.col("grade") + k for k in (-1, 0, 1)])).alias("grade")).distinct()
+    live = _written(grades.drop("dense").join(near, ["sig", "grade"]), "grades")
+    live = live.join(live.groupBy("sig").agg(F.sum("of_grade").alias("df")).where("df > 1"), "sig").drop("of_grade")
+    rows = _written(rows.join(live, ["sig", "grade"]).drop("grade"), "signatures")
+    few = rows.where(f"df <= {RARE}").groupBy("sig", "df").agg(F.collect_list(F.struct("sid", "n", *_Members.FACTS)).alias("members"))
     pairs = _listed_pairs(few, shape)
 
-    many = rows.where(f"df > {RARE}")
-    blocks = F.ceil(F.col("df") / BLOCK_ROWS)
+    blocks, one = F.ceil(F.col("df") / BLOCK_ROWS), F.lit(0).cast("bigint")
+    many = rows.where(f"df > {BLOCK_ROWS}")
     many = _blocks(many, "sig", F.pmod(F.xxhash64("sid"), blocks), blocks)
+    many = many.unionByName(rows.where(f"df > {RARE} AND df <= {BLOCK_ROWS}").withColumns({"block": one, "i": one, "j": one}))
 
     def compare(key: tuple, rows_: pa.Table) -> pa.Table:
         _, i, j = (k.as_py() for k in key)
         sid, n, block, dense = (rows_.column(c).to_numpy() for c in ("sid", "n", "block", "dense"))
+        of_sets = _Members(n, *[rows_.column(c).combine_chunks() for c in _Members.FACTS])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        keys = _keys(rows_.column("keys").combine_chunks())
-        open_ = (dense[left][:, None] | dense[right]) & ~((dense[left][:, None] & dense[right]) & _met(keys, left, right))
-        open_ &= 100 * n[left][:, None] >= shape.least * n[right]
-        open_ &= 100 * n[right] >= shape.least * n[left][:, None]
-        if i == j:
-            open_ &= left[:, None] < right
-        a, b = np.nonzero(open_)
-        a, b = left[a], right[b]
+        found = []
+        for some in np.array_split(left, max(1, -(-len(left) * len(right) // _PAIRS_AT_ONCE // 8))):
+            open_ = dense[some][:, None] | dense[right]
+            open_ &= 100 * n[some][:, None] >= shape.least * n[right]
+            open_ &= 100 * n[right] >= shape.least * n[some][:, None]
+            if i == j:
+                open_ &= some[:, None] < right
+            a, b = np.nonzero(open_)
+            a, b = some[a], right[b]
+            fits = of_sets.open(shape, a, b)
+            found.append((a[fits], b[fits]))
+        a, b = (np.concatenate([f[side] for f in found]) for side in (0, 1))
         sig, df = np.full(len(a), key[0].as_py(), dtype=np.int64), np.full(len(a), len(sid), dtype=np.int64)
         return pa.Table.from_batches([_pair_rows(sid, n, a, b, sig, df)])
 
@@ -440,7 +499,7 @@ def similar_texts(
     rows = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
     named = _written(_rows(rows, words, shape, False), "texts")
     sets = _rows(rows.where("id IS NOT NULL"), words, shape, True).where("n > 0").groupBy("f1", "f2").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")
     )
     sets = _written(sets.withColumn("sid", F.col("f1")), "sets")
 
@@ -449,19 +508,30 @@ def similar_texts(
     shared = _written(_postings(sets, shape).join(often, "token"), "postings")
 
     # Frequent tokens of each set that has some; there are no more of them than its prefix has tokens.
-    frequent = shared.where(f"df > {RARE}").groupBy("sid", "n").agg(F.collect_list("token").alias("tokens"))
+    frequent = shared.where(f"df > {RARE}").groupBy("sid", "n").agg(
+        F.collect_list("token").alias("tokens"), F.collect_list(F.when(F.col("df") > BLOCK_ROWS, F.col("token"))).alias("often")
+    )
     is_dense = F.udf(lambda n, f: shape.dense(n, f), "boolean")
     frequent = frequent.withColumn("dense", is_dense("n", F.size("tokens")))
-    heads = sets.select("sid", F.expr(f"substring(prefix, 1, {8 * KEYS})").alias("keys"))
+    heads = sets.select("sid", F.expr(f"substring(prefix, 1, {8 * KEYS})").alias("keys"), "sketch", "rep")
     frequent = _written(frequent.join(heads, "sid"), "frequent")
 
+    # Large families first: what their links join takes part in the rest as one.
+    firsts = F.udf(lambda raw: np.frombuffer(raw, dtype=np.int64).tolist(), "array<bigint>")
+    dense = frequent.where("dense").select("sid", "n", "rep", firsts("keys").alias("first"))
+    dense_bodies = _written(_bodies(rows, dense.select("sid", "rep"), words), "dense_bodies")
+    joined = _written(_dense_links(dense, dense_bodies, shape, words), "dense_links")
+    parts = components(joined).select(F.col("node").alias("sid"), F.col("component").alias("part"))
+    frequent = _written(frequent.drop("rep").join(parts, "sid", "left").withColumn("part", F.coalesce("part", "sid")), "parts")
+
     groups = shared.where(f"df <= {RARE}").groupBy(F.col("token").alias("sig"), "df").agg(F.collect_list(F.struct("sid", "n")).alias("members"))
     singles = _listed_pairs(groups, shape)
     # Of each pair: shared rare tokens, and the signature that covers most pairs.
     singles = singles.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"), F.max(F.struct("df", "sig")).alias("cover"))
-    few = frequent.select("sid", F.size("tokens").alias("f"))
+    few = frequent.select("sid", F.size("tokens").alias("f"), "part")
     for side in ("a", "b"):
-        singles = singles.join(few.withColumnsRenamed({"sid": side, "f": f"f{side}"}), side, "left")
+        singles = singles.join(few.withColumnsRenamed({"sid": side, "f": f"f{side}", "part": f"part_{side}"}), side, "left")
+    singles = singles.where("coalesce(part_a, a) <> coalesce(part_b, b)")
     singles = _written(singles.where(_enough(shape)).select("a", "b", "cover.sig"), "singles")
     combined = _signature_pairs(frequent, shape).groupBy("a", "b").agg(F.max(F.struct("df", "sig")).alias("cover")).select("a", "b", "cover.sig")
     pairs = _written(singles.unionByName(combined).groupBy("a", "b").agg(F.max("sig").alias("cover")), "pairs")
@@ -474,14 +544,11 @@ def similar_texts(
     pairs = pairs.withColumn("unit", F.pmod(F.xxhash64("cover", F.pmod(F.xxhash64("a"), F.col("parts"))), F.lit(units)))
     pairs = _written(pairs.select("a", "b", "unit"), "units")
 
-    dense = frequent.where("dense").join(sets.select("sid", F.col("prefix").alias("p")), "sid")
-    firsts = F.udf(lambda raw: np.frombuffer(raw, dtype=np.int64).tolist(), "array<bigint>")
-    dense = dense.select("sid", "n", firsts("keys").alias("first"))
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(dense.select("sid")).distinct()
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     needed = _written(needed.join(sets.select("sid", "rep"), "sid"), "needed")
-    bodies = _written(_bodies(rows, needed, words), "bodies")
-    links = _verified(pairs, bodies, shape, words).unionByName(_dense_links(dense, bodies, shape, words))
-    links = _written(links, "links")
+    others = needed.join(dense.select("sid"), "sid", "left_anti")
+    bodies = _written(_bodies(rows, others, words), "bodies").unionByName(dense_bodies)
+    links = _written(_verified(pairs, bodies, shape, words), "links").unionByName(joined)
 
     reps = sets.select("sid", "rep")
     edges = links.join(reps.withColumnsRenamed({"sid": "a", "rep": "x"}), "a").join(reps.withColumnsRenamed({"sid": "b", "rep": "y"}), "b")

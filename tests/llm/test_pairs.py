@@ -4,6 +4,7 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from edge_cases import edge_docs, no_docs, session  # noqa: F401
@@ -180,6 +181,39 @@ def test_signatures_keep_every_pair():
             assert len(np.intersect1d(one, two)), (least, len(a), len(b), common)
 
 
+def test_sketches_differ_no_more_than_their_sets():
+    rng = np.random.default_rng(12)
+    tokens = rng.integers(0, 2**63, 6000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(tokens[: 2 * n], n)) for n in (1, 3, 40, 500, 1030, 1100, 2500, 3000) for _ in range(3)]
+    a, b = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    found = jaccard.Sketches([jaccard.sketch(s) for s in sets]).differences(a, b)
+    wanted = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    assert (found <= wanted).all() and (found[a == b] == 0).all()
+    small = (wanted > 0) & (wanted < 100)
+    assert small.any() and (found[small] > 0.5 * wanted[small]).all()
+
+
+def test_pairs_of_a_family_are_not_listed():
+    """Near copies of one text, most too far from each other to link: hardly more pairs than links are left to list."""
+    rng = np.random.default_rng(13)
+    base, shape = rng.integers(0, 2**63, 150, dtype=np.uint64), jaccard.Shape(85)
+    sets = []
+    for _ in range(300):
+        copy, at = base.copy(), rng.integers(0, 150, rng.integers(0, 50))
+        copy[at] = rng.integers(0, 2**63, len(at), dtype=np.uint64)
+        sets.append(np.unique(copy))
+    n, count = np.array([len(s) for s in sets]), len(sets)
+    columns = [[True] * count, list(range(count)), [s[: jaccard.KEYS].tobytes() for s in sets], [jaccard.sketch(s) for s in sets]]
+    a, b = np.triu_indices(count, 1)
+    found = jaccard._Members(n, *[pa.array(c) for c in columns]).open(shape, a, b)
+    alike = shape.alike(np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b)]), n[a], n[b])
+    apart = np.array([not len(np.intersect1d(sets[i][: jaccard.KEYS], sets[j][: jaccard.KEYS])) for i, j in zip(a, b)])
+    assert (found[alike] == apart[alike]).all() and alike.sum() > 1000
+    assert (found & ~alike).sum() < 0.02 * (~alike & apart).sum()
+    joined = jaccard._Members(n, *[pa.array(c) for c in [columns[0], [7] * count, *columns[2:]]])
+    assert not joined.open(shape, a, b).any()
+
+
 def test_similar_texts_edges(session, edge_docs, no_docs):
     found = jaccard.similar_texts(edge_docs).collect()
     assert len(found) == edge_docs.count()
