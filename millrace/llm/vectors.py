@@ -2,7 +2,7 @@
 
 Equal vectors are one to begin with. The others are dealt to coarse lists; what is left of a vector
 after its list's centre is coded in subspaces. Every vector is then looked up in all lists that a
-linked vector may lie in: distances come from tables of the query's distances to the codewords,
+linked vector may lie in: distances to the coded vectors of a list are one product of matrices,
 every vector that may be near enough (its own coding error is known) is compared exactly. Links are
 counted and joined up inside the task; no list of pairs leaves it.
 
@@ -31,9 +31,11 @@ REACH = 0.5
 # Vectors that centres and codewords are fitted to. All vectors are indexed.
 SAMPLE = 20_000
 MOST_LISTS = 4096
+# Lists for each square root of the number of vectors. A product of matrices is cheaper than a row for one more list.
+LISTS = 0.25
 SUBSPACES, WORDS = 8, 256
-# Vectors on either side of a unit of work; a longer list is worked on in blocks.
-BLOCK = 2048
+# Vectors of a list in a unit of work, and blocks of as many that are looked up there; longer lists are worked on in blocks.
+BLOCK, QUERY_BLOCKS = 2048, 4
 _PAIRS = 1 << 16
 
 
@@ -76,6 +78,13 @@ class Quantiser:
             error += ((left[:, cut] - words[code]) ** 2).sum(axis=1)
         return out, np.sqrt(error)
 
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """What the codes stand for, without the list's centre."""
+        out = np.empty((len(codes), self.width))
+        for m, (cut, words) in enumerate(zip(self.cuts, self.words)):
+            out[:, cut] = words[codes[:, m]]
+        return out
+
     def beyond(self, points: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
         """Distance of each point from the plane between its own and another centre (row by row, so always the same)."""
         a, c = self.centres[own], self.centres[other]
@@ -107,6 +116,11 @@ def _padded(arrays: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _matrix(column_: pa.ChunkedArray, kind, width: int) -> np.ndarray:
+    """Binary values of the same length as rows of numbers."""
+    return np.frombuffer(b"".join(column_.to_pylist()), dtype=kind).reshape(-1, width)
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     """The rows in double precision, scaled to length 1."""
     out = rows.astype(np.float64)
@@ -155,7 +169,7 @@ def links(
         )
     width, radius = figures["width"], float(np.sqrt(max(0.0, 2 - 2 * least)))
     sample = _unit(_padded(distinct.orderBy("h1", "h2").limit(SAMPLE).select("v").toArrow().column("v"), width))
-    wanted = int(min(MOST_LISTS, max(1, figures["n"] ** 0.5)))
+    wanted = int(min(MOST_LISTS, max(1, LISTS * figures["n"] ** 0.5)))
     shared = rows.sparkSession.sparkContext.broadcast(Quantiser(sample, wanted))
     margin = reach * radius
     rep_type = id_type.simpleString()
@@ -185,7 +199,7 @@ def links(
         index, f"h1 bigint, h2 bigint, rep {rep_type}, n bigint, x binary, own int, codes binary, error double, probes array<int>"
     ))
     # Blocks of each list and of those that probe it: one row per list.
-    asked = indexed.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("q_blocks"))
+    asked = indexed.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / (QUERY_BLOCKS * BLOCK)).alias("q_blocks"))
     held = indexed.groupBy(F.col("own").alias("list")).agg(F.ceil(F.count("*") / BLOCK).alias("l_blocks"))
     sizes = asked.join(held, "list")
 
@@ -202,19 +216,16 @@ def links(
         coder, here = shared.value, key[0].as_py()
         right = right.rename_columns([c.removeprefix("of_") for c in right.column_names])
         nq, nl = left.num_rows, right.num_rows
-        q, x = (_unit(np.frombuffer(b"".join(t.column("x").to_pylist()), dtype=kind).reshape(t.num_rows, width)) for t in (left, right))
-        codes = np.frombuffer(b"".join(right.column("codes").to_pylist()), dtype=np.uint8).reshape(nl, -1)
+        q, x = (_unit(_matrix(t.column("x"), kind, width)) for t in (left, right))
+        coded = coder.decoded(_matrix(right.column("codes"), np.uint8, len(coder.cuts))).astype(np.float32)
         error = right.column("error").to_numpy() if nl else np.zeros(0)
-        bound = (radius + error + 1e-5) ** 2
-        residual = q - coder.centres[here]
+        # Half the square of the distance is compared, in single precision, with more room than its rounding takes.
+        bound = ((radius + error + 1e-5) ** 2 / 2 + 1e-4 - (coded.astype(np.float64) ** 2).sum(axis=1) / 2).astype(np.float32)
+        residual = (q - coder.centres[here]).astype(np.float32)
+        size = (residual * residual).sum(axis=1) / 2
         found_a, found_b = [], []
         for a in range(0, nq, 256):
-            part = residual[a : a + 256]
-            far = np.zeros((len(part), nl))
-            for m, (cut, words) in enumerate(zip(coder.cuts, coder.words)):
-                lookup = (part[:, cut] ** 2).sum(axis=1)[:, None] - 2 * part[:, cut] @ words.T + (words**2).sum(axis=1)
-                far += lookup[:, codes[:, m]]
-            i, j = np.nonzero(far <= bound)
+            i, j = np.nonzero(size[a : a + 256, None] - residual[a : a + 256] @ coded.T <= bound)
             for s in range(0, len(i), _PAIRS):
                 ii, jj = i[s : s + _PAIRS] + a, j[s : s + _PAIRS]
                 near = np.einsum("ij,ij->i", q[ii], x[jj]) >= least

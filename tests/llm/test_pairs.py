@@ -72,6 +72,16 @@ def test_vector_links(session, monkeypatch):
     assert (found[None]["n_links"], found[None]["component_id"], found[None]["kept"]) == (0, None, True)
 
 
+def test_coded_vectors():
+    """A decoded vector is as far from its vector as the coding error says."""
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(700, 20))
+    coder = vectors.Quantiser(points[:600], 5)
+    left = points - coder.centres[vectors._nearest(points, coder.centres)]
+    codes, error = coder.codes(left)
+    assert np.allclose(np.sqrt(((left - coder.decoded(codes)) ** 2).sum(axis=1)), error)
+
+
 def test_vectors_none_or_one(session):
     schema = "vec_id long, embedding array<float>"
     assert vectors.links(session.createDataFrame([], schema)).collect() == []
