@@ -1,11 +1,12 @@
 """How much the large jobs move and how often they read a table."""
 
+import hashlib
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from conftest import rows
-from millrace.functions.keys import packed_hex, unpacked_hex
+from millrace.functions.keys import packed_hex, packed_key, row_hash, unpacked_hex, unpacked_key
 from millrace.operators import quality as q
 from millrace.operators import textindex
 from millrace.plans import dimensions as d
@@ -65,6 +66,69 @@ def test_an_investment_meets_its_round_before_it_becomes_two_events(spark):
     assert fact.count() == 1 + 2 + 1 + 1 + 1 + 1 + 2 + 1 + 1
 
 
+def test_a_key_that_follows_from_its_columns_takes_no_bytes(spark):
+    values = ["00ff", "abc", "AB", "", None, "zz", "ab\n", "a" * 64]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").union(
+        spark.range(8, 9).select(F.col("id").cast("int"), row_hash([F.col("id"), F.lit(None)])))
+    follows = ["i", F.lit(None)]
+    packed = df.select("i", "v", packed_key("v", follows).alias("p"), packed_key("v").alias("q"))
+    back = packed.select(
+        "i", "v", unpacked_key("p", follows).alias("w"), unpacked_key("q").alias("x"), F.octet_length("p"), F.octet_length("q"))
+    found = sorted(back.collect())
+    assert [(r.w, r.x) for r in found] == [(r.v, r.v) for r in found] and [r.v for r in found[:8]] == values
+    assert [r[4] for r in found] == [3, 4, 3, 1, None, 3, 4, 33, 0]
+    assert found[8][5] == 33
+
+
+def test_events_meet_their_company_before_the_kinds_are_stacked(spark):
+    """A stacked event would move the empty columns of six other kinds."""
+    sources = events(spark)
+    dims = {n: d.INVESTMENT_DIMENSIONS[n].build(sources[n]) for n in ("company", "funding_rounds")}
+    lines = optimized(f.company_events(sources, dims)).split("\n")
+    union = next(i for i, line in enumerate(lines) if "Union" in line)
+    assert not any("Join" in line for line in lines[:union])
+    assert sum("Join LeftOuter, (object_nk" in line for line in lines[union:]) == 5
+
+
+def test_round_keys_are_those_of_the_dimension(spark):
+    """Made again from the natural key only where that gives the dimension's own key."""
+    n = len(d.INVESTMENT_DIMENSIONS["funding_rounds"].hashed) - 1
+
+    def made(natural):
+        return hashlib.sha256("||".join([natural, *["null"] * n]).encode()).hexdigest()
+
+    keys = [(7, made("7")), (7, "odd"), (8, None), (9, "ab" * 32), (None, made("null"))]
+    wanted = [(1, made("7")), (1, "odd"), (2, None), (3, "ab" * 32), (4, None), (5, None)]
+    sources = events(spark)
+    link = ("2020-01-05", None, None)
+    for kind, text in (("long", int), ("string", str), ("string", "0{}".format)):
+        other = "long" if text not in (int, str) else kind
+        read = int if other == "long" else str
+        sources["funding_rounds"] = spark.createDataFrame(
+            [(read(i), *link) for i in (7, 8, 9)], f"funding_round_id {other}, funded_at string, source_url string, source_description string")
+        sources["investments"] = spark.createDataFrame(
+            [(i, None if k is None else text(k), "x", "x") for i, k in enumerate((7, 8, 9, 10, None), 1)],
+            f"investment_id long, funding_round_id {kind}, funded_object_id string, investor_object_id string")
+        rounds = spark.createDataFrame(
+            [(None if k is None else read(k), v) for k, v in keys], f"funding_round_nk {other}, funding_rounds_id string")
+        company = d.INVESTMENT_DIMENSIONS["company"].build(sources["company"])
+        fact = f.company_events(sources, {"company": company, "funding_rounds": rounds})
+        paid = fact.where(F.col("event_type_id").isin(*[hashlib.sha256(x.encode()).hexdigest() for x in ("Received Funding", "Made Investment")]))
+        assert rows(paid, "funding_rounds_id") == sorted([(v,) for _, v in wanted] * 2, key=lambda r: (r[0] is not None, str(r[0])))
+        assert paid.where("event_date = '2020-01-05'").count() == 8
+
+
+def test_a_text_with_a_date_and_no_moment_keeps_its_date(spark):
+    sources = events(spark)
+    sources["funds"] = sources["funds"].withColumn("funded_at", F.lit("2020-01-03 noon"))
+    sources["ipos"] = sources["ipos"].withColumn("public_at", F.lit("2020-01-02 23:59:59").cast("timestamp"))
+    dims = {n: d.INVESTMENT_DIMENSIONS[n].build(sources[n]) for n in ("company", "funding_rounds")}
+    fact = f.company_events(sources, dims)
+    when = [F.col(c).cast("string") for c in ("event_datetime", "event_date")]
+    assert rows(fact.where("funds_id IS NOT NULL").select(*when)) == [(None, "2020-01-03")]
+    assert rows(fact.where("ipos_id IS NOT NULL").select(*when)) == [("2020-01-02 23:59:59", "2020-01-02")]
+
+
 def test_investments_are_hashed_after_their_join(spark):
     sources = events(spark)
     rounds = d.INVESTMENT_DIMENSIONS["funding_rounds"].build(sources["funding_rounds"])
