@@ -118,6 +118,25 @@ def test_round_keys_are_those_of_the_dimension(spark):
         assert paid.where("event_date = '2020-01-05'").count() == 8
 
 
+def test_keys_of_own_rows_are_those_of_the_dimension(spark):
+    """Whether the key moves or, where they are shorter, the columns it is made of; moments keep their clock."""
+    sources = events(spark)
+    moments = ["1969-12-31 23:59:59.999999", "2020-01-04 00:00:00", None, "0001-01-01 12:00:00.5"]
+    texts = ["short", "a description of more bytes than a hash has", None, "\u00e4" * 16]
+    sources["milestones"] = spark.createDataFrame(
+        [(i, "b", t, "m", m, None, None) for i, (t, m) in enumerate(zip(texts, moments))],
+        "milestone_id long, object_id string, description string, milestone_code string, milestone_at string, source_url string, source_description string")
+    dims = {n: d.INVESTMENT_DIMENSIONS[n].build(sources[n]) for n in ("company", "funding_rounds")}
+    fact = f.company_events(sources, dims).where("milestones_id IS NOT NULL")
+    keys = d.INVESTMENT_DIMENSIONS["milestones"].build(sources["milestones"])
+    when = F.col("milestone_at").cast("timestamp_ntz").cast("string")
+    wanted = keys.join(sources["milestones"], F.col("milestone_nk") == F.col("milestone_id")).select("milestones_id", when, when.cast("date").cast("string"))
+    found = fact.select("milestones_id", *[F.col(c).cast("string") for c in ("event_datetime", "event_date")])
+    assert rows(found) == sorted(rows(wanted) * 2, key=lambda r: tuple((x is not None, str(x)) for x in r))  # b has two offices
+    assert len(rows(wanted)) == 4
+    assert "made_of" not in fact.columns
+
+
 def test_a_text_with_a_date_and_no_moment_keeps_its_date(spark):
     sources = events(spark)
     sources["funds"] = sources["funds"].withColumn("funded_at", F.lit("2020-01-03 noon"))
